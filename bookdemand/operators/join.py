@@ -131,8 +131,9 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, *, salt_buckets: int
     d = dim.join(hot_flag, on=key, how="left").withColumn(
         "_salt",
         F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
-        ).cast("long"),
+            F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long")))
+            .otherwise(F.array(F.lit(0).cast("long")))
+        ),
     ).drop("_hot")
     return f.join(d, on=[key, "_salt"], how="inner").drop("_salt")
 
