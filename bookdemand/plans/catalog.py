@@ -1,121 +1,8 @@
-"""Registered queries: name → (spark, sf_dir) → DataFrame, plus for each the
-same question in SQL for DuckDB.  Every query reads whole warehouse tables.
-"""
+"""All registered queries.  Importing this module registers every query
+module; ``QUERIES`` / ``ORACLE_SQL`` are then complete."""
 
-from __future__ import annotations
+from bookdemand.plans import booking_queries  # noqa: F401
+from bookdemand.plans import stats_queries  # noqa: F401
+from bookdemand.plans.registry import ORACLE_SQL, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from bookdemand import schemas as S
-from bookdemand.operators.join import join_rooms
-from bookdemand.operators.ranking import top_n_per_group
-from bookdemand.operators.requests import demand_by_room, filter_requests, priority_score, top_demand
-from bookdemand.plans.oracle_views import JOINED_CTE, REQUESTS_CTE, ROOMS_CTE, minutes_between, score_sql
-from bookdemand.session import ensure_semantics
-from bookdemand.sources.tables import (
-    APPROVED_STATUS,
-    YEAR_END,
-    YEAR_START,
-    load_requests,
-    load_rooms,
-    read_table,
-)
-
-QueryFn = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, QueryFn] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def register(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryFn]:
-    def wrap(fn: QueryFn) -> QueryFn:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ensure_semantics(spark)
-            return fn(spark, sf_dir)
-
-        run.__name__ = fn.__name__
-        run.__doc__ = fn.__doc__
-        QUERIES[name] = run
-        if oracle is not None:
-            ORACLE_SQL[name] = oracle
-        return run
-
-    return wrap
-
-
-# --- T1 ---------------------------------------------------------------------
-@register("filter_select", f"""WITH {REQUESTS_CTE}
-SELECT request_id, room_id, booking_date, start_time, end_time, attendees, status
-FROM requests
-WHERE status = '{APPROVED_STATUS}' AND attendees >= {S.MIN_ATTENDEES}
-  AND booking_date BETWEEN DATE '{YEAR_START}' AND DATE '{YEAR_END}'""")
-def filter_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T1 over orders-as-requests: approved, ≥25 attendees, one academic year."""
-    return filter_requests(
-        load_requests(spark, sf_dir), approved=APPROVED_STATUS, start=YEAR_START, end=YEAR_END
-    )
-
-
-# --- T2 ---------------------------------------------------------------------
-@register("group_demand", f"""WITH {REQUESTS_CTE}
-SELECT room_id, count(request_id) AS request_count, avg(attendees) AS avg_attendees,
-       max(attendees) AS max_attendees
-FROM requests GROUP BY room_id ORDER BY room_id""")
-def group_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T2: per room, request count, mean and max attendees, by room."""
-    return demand_by_room(load_requests(spark, sf_dir))
-
-
-@register("group_demand_lineitem", """SELECT l_suppkey, count(l_orderkey) AS request_count,
-       avg(l_quantity) AS avg_attendees, max(l_quantity) AS max_attendees
-FROM lineitem GROUP BY l_suppkey ORDER BY l_suppkey""")
-def group_demand_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T2's operator on another table: lines per supplier, quantity stats."""
-    return demand_by_room(
-        read_table(spark, sf_dir, "lineitem"), key="l_suppkey", id_col="l_orderkey", value_col="l_quantity"
-    )
-
-
-# --- T3 ---------------------------------------------------------------------
-@register("join_dimension", f"""WITH {REQUESTS_CTE}, {ROOMS_CTE}, {JOINED_CTE}
-SELECT * FROM joined""")
-def join_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T3: requests × rooms, many-to-one checked, strategy from measured size."""
-    return join_rooms(load_requests(spark, sf_dir), load_rooms(spark, sf_dir))
-
-
-# --- T4 ---------------------------------------------------------------------
-@register("priority_score", f"""WITH {REQUESTS_CTE}, {ROOMS_CTE}, {JOINED_CTE}
-SELECT *, {score_sql(APPROVED_STATUS)} AS priority_score FROM joined""")
-def priority_score_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4 on T3's output."""
-    joined = join_rooms(load_requests(spark, sf_dir), load_rooms(spark, sf_dir))
-    return priority_score(joined, approved=APPROVED_STATUS)
-
-
-# --- T5 ---------------------------------------------------------------------
-@register("top_demand", f"""WITH {REQUESTS_CTE}
-SELECT request_id, room_id, booking_date, start_time, end_time, attendees, status,
-       {minutes_between('start_time', 'end_time')} AS duration_min
-FROM requests
-ORDER BY attendees DESC, duration_min DESC, booking_date ASC, request_id ASC
-LIMIT {S.TOP_N}""")
-def top_demand_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T5: top 20 requests under the four-key total order."""
-    return top_demand(load_requests(spark, sf_dir), S.TOP_N)
-
-
-# --- WR-1 -------------------------------------------------------------------
-@register("top_events_per_day", """SELECT * FROM (
-  SELECT CAST(ts AS DATE) AS day, event_id, user_id, event_type, value,
-         CAST(row_number() OVER (PARTITION BY CAST(ts AS DATE)
-                                 ORDER BY value DESC, event_id ASC) AS INTEGER) AS rank
-  FROM events) WHERE rank <= 3""")
-def top_events_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WR-1: per calendar day, the 3 largest events (value ↓, id ↑)."""
-    events = read_table(spark, sf_dir, "events").select(
-        F.to_date("ts").alias("day"), "event_id", "user_id", "event_type", "value"
-    )
-    return top_n_per_group(events, ["day"], [F.col("value").desc(), F.col("event_id").asc()], 3)
+__all__ = ["QUERIES", "ORACLE_SQL"]

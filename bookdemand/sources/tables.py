@@ -81,3 +81,16 @@ def load_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rooms_from_customer(read_table(spark, sf_dir, "customer"))
+
+
+def measurements_from_events(events: DataFrame) -> DataFrame:
+    """Events as a timing table: each event type is an operator, the user's
+    key picks a parallelism of 1, 2 or 4 units, the value is the time."""
+    return events.select(
+        F.lit("events").alias("engine"),
+        F.col("event_type").alias("operator"),
+        F.element_at(F.array(F.lit(1), F.lit(2), F.lit(4)), (F.pmod(F.col("user_id"), F.lit(3)) + 1).cast("int"))
+        .alias("units"),
+        F.col("event_id").alias("repetition"),
+        F.col("value").alias("seconds"),
+    )
