@@ -14,12 +14,21 @@ from bookdemand.functions._col import as_col
 
 
 def seconds_of_day(c: str | Column) -> Column:
-    """``'HH:MM:SS'`` → seconds after midnight (int)."""
-    parts = F.split(as_col(c), ":", 3)
-    return (
-        F.element_at(parts, 1).cast("int") * 3600
-        + F.element_at(parts, 2).cast("int") * 60
-        + F.element_at(parts, 3).cast("int")
+    """``'HH:MM:SS'`` → seconds after midnight (int); null stays null.
+
+    Fixed-width substrings and int casts (cheap, codegen'd); a text that is
+    not 8 characters with ':' at 3 and 6 raises, and so does a non-digit
+    field (ANSI cast).
+    """
+    t = as_col(c)
+    valid = (F.length(t) == 8) & (F.substring(t, 3, 1) == ":") & (F.substring(t, 6, 1) == ":")
+    value = (
+        F.substring(t, 1, 2).cast("int") * 3600
+        + F.substring(t, 4, 2).cast("int") * 60
+        + F.substring(t, 7, 2).cast("int")
+    )
+    return F.when(t.isNull(), F.lit(None).cast("int")).when(valid, value).otherwise(
+        F.raise_error(F.concat(F.lit("not an HH:MM:SS time of day: "), t))
     )
 
 
@@ -35,4 +44,6 @@ def minutes_between(start: str | Column, end: str | Column) -> Column:
 def time_text(minutes: str | Column) -> Column:
     """Minutes after midnight → ``'HH:MM:00'``."""
     m = as_col(minutes)
-    return F.format_string("%02d:%02d:00", F.floor(m / 60).cast("int"), F.pmod(m, F.lit(60)).cast("int"))
+    hours = F.lpad(F.floor(m / 60).cast("string"), 2, "0")
+    mins = F.lpad(F.pmod(m, F.lit(60)).cast("string"), 2, "0")
+    return F.concat(hours, F.lit(":"), mins, F.lit(":00"))

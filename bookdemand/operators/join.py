@@ -75,9 +75,28 @@ def profile_dimension(dim: DataFrame, key: str) -> DimensionProfile:
     return DimensionProfile(int(row["rows"]), int(row["null_keys"]), int(row["max_n"]), int(row["bytes"]))
 
 
+_PROFILES: dict[tuple, DimensionProfile] = {}
+
+
+def cached_profile(dim: DataFrame, key: str) -> DimensionProfile:
+    """``profile_dimension`` measured once per immutable input.
+
+    File-backed dimensions are keyed by their plan's semantic hash and the
+    exact list of input files (a rewrite produces new file names); anything
+    else — in-memory frames, streams — is measured every time.
+    """
+    files = tuple(sorted(dim.inputFiles()))
+    if not files:
+        return profile_dimension(dim, key)
+    memo_key = (id(dim.sparkSession), dim.semanticHash(), files, key)
+    if memo_key not in _PROFILES:
+        _PROFILES[memo_key] = profile_dimension(dim, key)
+    return _PROFILES[memo_key]
+
+
 def check_many_to_one(dim: DataFrame, key: str) -> DimensionProfile:
     """J-2: raise if any non-null key appears more than once in ``dim``."""
-    profile = profile_dimension(dim, key)
+    profile = cached_profile(dim, key)
     if profile.max_rows_per_key > 1:
         raise ValueError(
             f"many-to-one contract broken: a '{key}' value appears {profile.max_rows_per_key} times"
@@ -163,7 +182,7 @@ def join_rooms(
     if validate:
         profile = check_many_to_one(dim, S.ROOM_ID)
     elif strategy == "auto":
-        profile = profile_dimension(dim, S.ROOM_ID)
+        profile = cached_profile(dim, S.ROOM_ID)
     chosen = resolve_strategy(requests.sparkSession, strategy, profile, max_broadcast_bytes)
     if chosen == "salted":
         joined = salted_join(requests, dim, S.ROOM_ID, salt_buckets=salt_buckets, hot_key_rows=hot_key_rows)

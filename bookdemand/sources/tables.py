@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookdemand import schemas as S
-from bookdemand.functions.timeofday import time_text
 
 # Fixed values of the mapping: first slot 07:00 (minute 420), 25 half-hour
 # slots, four durations, attendees 5..45, lead 1..30 days, capacity 20..45.
@@ -34,45 +33,62 @@ YEAR_START = "1996-07-01"
 YEAR_END = "1997-06-30"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, *, refresh: bool = False) -> DataFrame:
+    """The parquet table ``name`` under ``sf_dir``.
+
+    The relation (file listing and footer schema, not data) is kept per
+    session and path, as a catalog would; ``refresh=True`` lists again.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if refresh or key not in _RELATIONS:
+        _RELATIONS[key] = spark.read.parquet(path)
+    return _RELATIONS[key]
+
+
+def _hhmm(minutes_sql: str) -> str:
+    return (f"concat(lpad(CAST(floor(({minutes_sql}) / 60) AS STRING), 2, '0'), ':', "
+            f"lpad(CAST(pmod({minutes_sql}, 60) AS STRING), 2, '0'), ':00')")
+
+
+_START = f"({FIRST_SLOT_MIN} + pmod(o_orderkey, {SLOTS}) * 30)"
+_DURATION = (f"element_at(array({', '.join(map(str, DURATIONS_MIN))}), "
+             f"CAST(pmod(o_orderkey, {len(DURATIONS_MIN)}) + 1 AS INT))")
+_DAY = "CAST(o_orderdate AS DATE)"
+
+REQUEST_EXPRS = [
+    f"o_orderkey AS {S.REQUEST_ID}",
+    f"o_custkey AS {S.ROOM_ID}",
+    f"{_DAY} AS {S.BOOKING_DATE}",
+    f"{_hhmm(_START)} AS {S.START_TIME}",
+    f"{_hhmm(_START + ' + ' + _DURATION)} AS {S.END_TIME}",
+    f"CAST({ATTENDEES_MIN} + pmod(o_orderkey, {ATTENDEES_SPAN}) AS INT) AS {S.ATTENDEES}",
+    f"o_orderstatus AS {S.STATUS}",
+    f"CAST(date_sub({_DAY}, CAST(1 + pmod(o_orderkey * 7, {LEAD_SPAN_DAYS}) AS INT)) AS TIMESTAMP)"
+    f" + make_dt_interval(0, CAST(pmod(o_orderkey, 24) AS INT)) AS {S.CREATED_AT}",
+]
+
+ROOM_EXPRS = [
+    f"c_custkey AS {S.ROOM_ID}",
+    f"format_string('ROOM-%06d', c_custkey) AS {S.CODE}",
+    f"c_name AS {S.NAME}",
+    f"CAST({CAPACITY_MIN} + pmod(c_custkey, {CAPACITY_SPAN}) AS INT) AS {S.CAPACITY}",
+    f"c_mktsegment AS {S.STATE}",
+    f"c_acctbal >= 0 AS {S.ACTIVE}",
+]
 
 
 def requests_from_orders(orders: DataFrame) -> DataFrame:
     """One request per order: key, room (customer), day, slot, size, state."""
-    k = F.col("o_orderkey")
-    start_min = F.lit(FIRST_SLOT_MIN) + F.pmod(k, F.lit(SLOTS)) * 30
-    duration = F.element_at(
-        F.array(*[F.lit(d) for d in DURATIONS_MIN]), (F.pmod(k, F.lit(len(DURATIONS_MIN))) + 1).cast("int")
-    )
-    booking_date = F.col("o_orderdate").cast("date")
-    lead_days = (F.lit(1) + F.pmod(k * 7, F.lit(LEAD_SPAN_DAYS))).cast("int")
-    created_at = F.date_sub(booking_date, lead_days).cast("timestamp") + F.make_dt_interval(
-        F.lit(0), F.pmod(k, F.lit(24)).cast("int")
-    )
-    return orders.select(
-        k.alias(S.REQUEST_ID),
-        F.col("o_custkey").alias(S.ROOM_ID),
-        booking_date.alias(S.BOOKING_DATE),
-        time_text(start_min).alias(S.START_TIME),
-        time_text(start_min + duration).alias(S.END_TIME),
-        (F.lit(ATTENDEES_MIN) + F.pmod(k, F.lit(ATTENDEES_SPAN))).cast("int").alias(S.ATTENDEES),
-        F.col("o_orderstatus").alias(S.STATUS),
-        created_at.alias(S.CREATED_AT),
-    )
+    return orders.selectExpr(*REQUEST_EXPRS)
 
 
 def rooms_from_customer(customer: DataFrame) -> DataFrame:
     """One room per customer; a negative balance marks an inactive room."""
-    key = F.col("c_custkey")
-    return customer.select(
-        key.alias(S.ROOM_ID),
-        F.format_string("ROOM-%06d", key).alias(S.CODE),
-        F.col("c_name").alias(S.NAME),
-        (F.lit(CAPACITY_MIN) + F.pmod(key, F.lit(CAPACITY_SPAN))).cast("int").alias(S.CAPACITY),
-        F.col("c_mktsegment").alias(S.STATE),
-        (F.col("c_acctbal") >= 0).alias(S.ACTIVE),
-    )
+    return customer.selectExpr(*ROOM_EXPRS)
 
 
 def load_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
