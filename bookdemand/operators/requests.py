@@ -51,6 +51,10 @@ def filter_requests(
         & (F.col(S.ATTENDEES) >= F.lit(min_attendees))
         & _as_date(S.BOOKING_DATE).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     )
+    if S.BOOKING_MONTH in requests.columns:
+        # Landing zone partitioned by month: the implied month range prunes
+        # whole directories before any file is listed or opened.
+        condition = condition & F.col(S.BOOKING_MONTH).between(F.lit(start[:7]), F.lit(end[:7]))
     return requests.filter(condition).select(*REQUEST_VIEW)
 
 

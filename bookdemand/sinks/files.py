@@ -108,13 +108,15 @@ def write_landing_zone(requests: DataFrame, path: str, *, mode: str = "overwrite
     """Bookings as parquet partitioned by booking month.
 
     T1's date-range filter then prunes whole month directories before any
-    file is opened; rows are clustered by month inside each write task.
+    file is opened.  The ``rebalance`` hint clusters rows by month and lets
+    AQE split a heavy month over several tasks (and files) instead of
+    sending it to one.
     """
     month = F.date_format(F.col(S.BOOKING_DATE), "yyyy-MM")
     (
-        requests.withColumn("booking_month", month)
-        .repartition("booking_month")
+        requests.withColumn(S.BOOKING_MONTH, month)
+        .hint("rebalance", S.BOOKING_MONTH)
         .write.mode(mode)
-        .partitionBy("booking_month")
+        .partitionBy(S.BOOKING_MONTH)
         .parquet(path)
     )
