@@ -36,3 +36,14 @@ def half_year_index(day: str | Column, base_year: int) -> Column:
     """``(year - base_year) * 2 + (month > 6)``: academic half-year counter."""
     d = as_col(day)
     return (F.year(d) - F.lit(base_year)) * 2 + F.when(F.month(d) > 6, 1).otherwise(0)
+
+
+def iso_date(day: str | Column) -> Column:
+    """``YYYY-MM-DD`` text of a date (SF-17)."""
+    return F.date_format(as_col(day), "yyyy-MM-dd")
+
+
+def iso_instant(ts: str | Column) -> Column:
+    """ISO 8601 text of an instant in UTC with an explicit ``+00:00`` offset
+    (SF-17); the session zone is pinned to UTC."""
+    return F.date_format(as_col(ts), "yyyy-MM-dd'T'HH:mm:ssxxx")

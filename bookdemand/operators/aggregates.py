@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
+
+from pyspark import StorageLevel
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,3 +50,19 @@ def pivot_wide(
     """
     val = F.col(value) if isinstance(value, str) else value
     return df.groupBy(*index).pivot(pivot_col, list(values)).agg(F.first(val))
+
+
+def append_series(*frames: DataFrame) -> DataFrame:
+    """U-2: stack measurement tables from several runs by column name."""
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """CCH-1 / CCH-2: keep ``df`` materialised (spilling to disk) for the
+    block, and always release it afterwards."""
+    df.persist(level)
+    try:
+        yield df
+    finally:
+        df.unpersist()

@@ -45,6 +45,23 @@ def file_stream(
     return reader.load(directory)
 
 
+def kafka_stream(spark: SparkSession, servers: str, topic: str, *, starting_offsets: str = "earliest") -> DataFrame:
+    """SRC-5: a replayable topic keyed by room (needs the spark-sql-kafka
+    package on the classpath; offsets are tracked in the query checkpoint).
+    Returns ``key``, ``value`` (text), ``partition``, ``offset``, ``timestamp``."""
+    raw = (
+        spark.readStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("subscribe", topic)
+        .option("startingOffsets", starting_offsets)
+        .load()
+    )
+    return raw.select(
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+        "partition", "offset", "timestamp",
+    )
+
+
 def as_event_time(df: DataFrame, column: str) -> DataFrame:
     """Watermarks need TIMESTAMP; a TIMESTAMP_NTZ column is read as UTC."""
     if isinstance(df.schema[column].dataType, TimestampNTZType):
@@ -101,6 +118,20 @@ def idempotent_batch_sink(path: str, *, fmt: str = "parquet") -> Callable[[DataF
     return write
 
 
+def store_batch_sink(
+    write_batch: Callable[[DataFrame], None], *, dedupe_keys: Sequence[str] | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """SNK-7: hand every micro-batch to an operational-store writer, e.g.
+    ``lambda df: df.write.jdbc(url, table, mode="append", properties=props)``.
+    With ``dedupe_keys`` a batch is deduplicated first, so an at-least-once
+    store with a unique key on those columns stays consistent on replay."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch.dropDuplicates(list(dedupe_keys)) if dedupe_keys else batch)
+
+    return write
+
+
 def ranking_upsert_sink(
     path: str,
     *,

@@ -83,3 +83,10 @@ def test_weighted_choice_frequencies(spark):
     counts = {r["s"]: r["count"] for r in df.groupBy("s").count().collect()}
     assert set(counts) == {"a", "b", "c"}
     assert 0.66 < counts["a"] / 20000 < 0.74 and 0.08 < counts["c"] / 20000 < 0.12
+
+
+def test_iso_formats(spark):
+    from bookdemand.functions import iso_date, iso_instant
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5), dt.date(2024, 1, 2))], "t timestamp, d date")
+    r = df.select(iso_instant("t").alias("i"), iso_date("d").alias("d")).first()
+    assert r["i"] == "2024-01-02T03:04:05+00:00" and r["d"] == "2024-01-02"

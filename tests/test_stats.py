@@ -75,3 +75,13 @@ def test_scaling_metrics_reproduce_published_values(spark):
     long = metrics_long(unit_scaling(s))
     assert {"speedup", "efficiency", "serial_fraction", "amdahl", "gustafson", "amdahl_limit"} <= {
         r["metric"] for r in long.collect()}
+
+
+def test_append_series_and_persisted(spark):
+    from bookdemand.operators.aggregates import append_series, persisted
+    a = spark.createDataFrame([("x", 1)], "k string, v int")
+    b = spark.createDataFrame([(2, "y")], "v int, k string")
+    both = append_series(a, b)
+    with persisted(both) as cached:
+        assert cached.is_cached and cached.count() == 2
+    assert not both.is_cached
