@@ -6,3 +6,8 @@ from pyspark.sql import functions as F
 
 def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+def ident(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"

@@ -10,7 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from bookdemand.functions._col import as_col
+from bookdemand.functions._col import as_col, ident
+
+
+def _seconds_sql(t: str) -> str:
+    return (
+        f"CASE WHEN {t} IS NULL THEN CAST(NULL AS INT) "
+        f"WHEN length({t}) = 8 AND substring({t}, 3, 1) = ':' AND substring({t}, 6, 1) = ':' "
+        f"THEN CAST(substring({t}, 1, 2) AS INT) * 3600 + CAST(substring({t}, 4, 2) AS INT) * 60 "
+        f"+ CAST(substring({t}, 7, 2) AS INT) "
+        f"ELSE raise_error(concat('not an HH:MM:SS time of day: ', {t})) END"
+    )
 
 
 def seconds_of_day(c: str | Column) -> Column:
@@ -18,9 +28,11 @@ def seconds_of_day(c: str | Column) -> Column:
 
     Fixed-width substrings and int casts (cheap, codegen'd); a text that is
     not 8 characters with ':' at 3 and 6 raises, and so does a non-digit
-    field (ANSI cast).
+    field (ANSI cast).  A column name is compiled as one SQL expression.
     """
-    t = as_col(c)
+    if isinstance(c, str):
+        return F.expr(_seconds_sql(ident(c)))
+    t = c
     valid = (F.length(t) == 8) & (F.substring(t, 3, 1) == ":") & (F.substring(t, 6, 1) == ":")
     value = (
         F.substring(t, 1, 2).cast("int") * 3600
@@ -32,11 +44,18 @@ def seconds_of_day(c: str | Column) -> Column:
     )
 
 
+def minutes_between_sql(start: str, end: str) -> str:
+    """SQL text of :func:`minutes_between` over two column names."""
+    return f"CAST(floor(({_seconds_sql(ident(end))} - {_seconds_sql(ident(start))}) / 60) AS BIGINT)"
+
+
 def minutes_between(start: str | Column, end: str | Column) -> Column:
     """Whole minutes from ``start`` to ``end``, floored, as long.
 
     Floor (not truncation) keeps the result right for negative spans too.
     """
+    if isinstance(start, str) and isinstance(end, str):
+        return F.expr(minutes_between_sql(start, end))
     span = seconds_of_day(end) - seconds_of_day(start)
     return F.floor(span / F.lit(60)).cast("long")
 

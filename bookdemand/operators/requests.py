@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from bookdemand import schemas as S
 from bookdemand.functions.dates import days_between, is_weekend, utc_day
 from bookdemand.functions.scoring import flag_bonus, tiered_bonus
-from bookdemand.functions.timeofday import minutes_between
+from bookdemand.functions._col import ident
+from bookdemand.functions.timeofday import minutes_between, minutes_between_sql
 
 # Columns T1 and T5 project, in output order.
 REQUEST_VIEW = [
@@ -82,9 +83,29 @@ def demand_by_room(
     return out.orderBy(F.col(key).asc()) if ordered else out
 
 
+def priority_score_sql(approved: str = S.APPROVED) -> str:
+    """T4's score as one SQL expression over a joined request row."""
+    a, cap, st = ident(S.ATTENDEES), ident(S.CAPACITY), ident(S.STATUS)
+    day = f"CAST({ident(S.BOOKING_DATE)} AS DATE)"
+    tiers = " ".join(
+        f"WHEN CAST({a} AS BIGINT) * 100 >= CAST({cap} AS BIGINT) * {pct} THEN {pts}" for pct, pts in OCCUPANCY_TIERS
+    )
+    approved_lit = approved.replace("'", "\\'")
+    return (
+        f"CAST(CAST({a} AS BIGINT) * {minutes_between_sql(S.START_TIME, S.END_TIME)}"
+        f" + CASE {tiers} ELSE 0 END"
+        f" + CASE WHEN datediff({day}, to_date({ident(S.CREATED_AT)})) <= {SHORT_LEAD_DAYS}"
+        f" THEN {SHORT_LEAD_POINTS} ELSE 0 END"
+        f" + CASE WHEN dayofweek({day}) IN (1, 7) THEN {WEEKEND_POINTS} ELSE 0 END"
+        f" + CASE WHEN {st} = '{approved_lit}' THEN {APPROVED_POINTS} ELSE 0 END AS BIGINT)"
+    )
+
+
 def priority_score_column(approved: str = S.APPROVED) -> Column:
-    """T4's score expression over a joined request row (64-bit integer)."""
-    duration = minutes_between(S.START_TIME, S.END_TIME)
+    """T4's score expression over a joined request row (64-bit integer).
+
+    Built from the Column helpers; equal to ``priority_score_sql``."""
+    duration = minutes_between(F.col(S.START_TIME), F.col(S.END_TIME))
     day = _as_date(S.BOOKING_DATE)
     lead_days = days_between(day, utc_day(S.CREATED_AT))
     return (
@@ -108,7 +129,7 @@ def priority_score(joined: DataFrame, *, approved: str = S.APPROVED) -> DataFram
         (S.ATTENDEES, S.CAPACITY, S.START_TIME, S.END_TIME, S.BOOKING_DATE, S.CREATED_AT, S.STATUS),
         "priority_score",
     )
-    return joined.withColumn(S.PRIORITY_SCORE, priority_score_column(approved))
+    return joined.withColumn(S.PRIORITY_SCORE, F.expr(priority_score_sql(approved)))
 
 
 def top_demand(requests: DataFrame, n: int = S.TOP_N) -> DataFrame:

@@ -138,3 +138,16 @@ def test_t5_total_order_and_n(spark):
     for bad in (0, -1):
         with pytest.raises(ValueError):
             top_demand(req(spark, rows), n=bad)
+
+
+def test_score_sql_equals_column_form(spark):
+    from bookdemand.operators.requests import priority_score_column, priority_score_sql
+    rows = [base_row(i, attendees=a, booking_date=d, created_at=c, status=s)
+            for i, (a, d, c, s) in enumerate([
+                (30, dt.date(2024, 9, 2), ts(2024, 8, 1), "APROBADA"),
+                (23, dt.date(2024, 9, 7), ts(2024, 8, 31, 23), "PENDIENTE"),
+                (None, dt.date(2024, 9, 8), ts(2024, 9, 5), "O'Neil"),
+            ])]
+    df = join_rooms(req(spark, rows), rooms(spark), strategy="broadcast", validate=False)
+    got = df.select(F.expr(priority_score_sql("O'Neil")).alias("a"), priority_score_column("O'Neil").alias("b"))
+    assert all(r["a"] == r["b"] for r in got.collect())
