@@ -15,6 +15,7 @@ Strategy is chosen from measured facts, not guesses:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -157,36 +158,61 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, *, salt_buckets: int
     return f.join(d, on=[key, "_salt"], how="inner").drop("_salt")
 
 
-def join_rooms(
-    requests: DataFrame,
-    rooms: DataFrame,
+def join_dimension(
+    fact: DataFrame,
+    dim: DataFrame,
     *,
+    fact_key: str,
+    dim_key: str,
+    columns: Sequence[tuple[str, str]],
     strategy: str = "auto",
     validate: bool = True,
     max_broadcast_bytes: int | None = None,
     salt_buckets: int = 16,
     hot_key_rows: int = 1_000_000,
 ) -> DataFrame:
-    """T3: inner N:1 join adding room code, name, capacity, state, active flag.
+    """Inner N:1 equi-join adding ``columns`` (``(source, output name)``) of
+    ``dim`` to every ``fact`` row whose ``fact_key`` equals ``dim_key``.
 
     ``validate`` runs the many-to-one check (J-2) — one aggregate over the
-    dimension, which also measures it for the broadcast decision.  Output
-    columns: the request columns in their order, then the five room columns
-    (an explicit select, so the order never depends on the join form, X8).
-    Null keys never match (SQL semantics, X6).
+    dimension, which also measures it for the broadcast decision.  Output:
+    the fact columns in their order, then the dimension columns (an explicit
+    select, so the order never depends on the join form, X8).  Null keys
+    never match (SQL semantics, X6).
     """
-    S.require_columns(requests, (S.ROOM_ID,), "join_rooms requests")
-    S.require_columns(rooms, [S.ROOM_ID] + [src for src, _ in ROOM_VIEW], "join_rooms rooms")
-    dim = rooms.select(F.col(S.ROOM_ID), *[F.col(src).alias(dst) for src, dst in ROOM_VIEW])
+    S.require_columns(fact, (fact_key,), "join_dimension fact")
+    S.require_columns(dim, [dim_key] + [src for src, _ in columns], "join_dimension dimension")
+    slim = dim.select(F.col(dim_key).alias(fact_key), *[F.col(src).alias(dst) for src, dst in columns])
     profile = None
     if validate:
-        profile = check_many_to_one(dim, S.ROOM_ID)
+        profile = check_many_to_one(slim, fact_key)
     elif strategy == "auto":
-        profile = cached_profile(dim, S.ROOM_ID)
-    chosen = resolve_strategy(requests.sparkSession, strategy, profile, max_broadcast_bytes)
+        profile = cached_profile(slim, fact_key)
+    chosen = resolve_strategy(fact.sparkSession, strategy, profile, max_broadcast_bytes)
     if chosen == "salted":
-        joined = salted_join(requests, dim, S.ROOM_ID, salt_buckets=salt_buckets, hot_key_rows=hot_key_rows)
+        joined = salted_join(fact, slim, fact_key, salt_buckets=salt_buckets, hot_key_rows=hot_key_rows)
     else:
-        right = F.broadcast(dim) if chosen == "broadcast" else dim.hint(chosen)
-        joined = requests.join(right, on=S.ROOM_ID, how="inner")
-    return joined.select(*requests.columns, *[dst for _, dst in ROOM_VIEW])
+        right = F.broadcast(slim) if chosen == "broadcast" else slim.hint(chosen)
+        joined = fact.join(right, on=fact_key, how="inner")
+    return joined.select(*fact.columns, *[dst for _, dst in columns])
+
+
+def join_rooms(
+    requests: DataFrame,
+    rooms: DataFrame,
+    *,
+    strategy: str = "auto",
+    validate: bool = True,
+    max_broadcast_bytes: int | None = None,
+    salt_buckets: int = 16,
+    hot_key_rows: int = 1_000_000,
+) -> DataFrame:
+    """T3: requests × rooms on ``room_id``, adding room code, name, capacity,
+    state and active flag under names that cannot clash with request columns."""
+    S.require_columns(requests, (S.ROOM_ID,), "join_rooms requests")
+    S.require_columns(rooms, [S.ROOM_ID] + [src for src, _ in ROOM_VIEW], "join_rooms rooms")
+    return join_dimension(
+        requests, rooms, fact_key=S.ROOM_ID, dim_key=S.ROOM_ID, columns=ROOM_VIEW, strategy=strategy,
+        validate=validate, max_broadcast_bytes=max_broadcast_bytes, salt_buckets=salt_buckets,
+        hot_key_rows=hot_key_rows,
+    )

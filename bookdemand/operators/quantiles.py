@@ -26,6 +26,26 @@ from pyspark.sql import functions as F
 from bookdemand.session import checkpoint_dir
 
 
+def value_pieces(df: DataFrame, group_cols: Sequence[str], value_col: str,
+                 partitions: int | None = None) -> DataFrame:
+    """Distinct (group, value, count ``_n``) rows range-partitioned on
+    (group, value) and tagged with their piece ``_pid``; checkpointed, so the
+    tags are fixed even if an executor is lost later."""
+    spark = df.sparkSession
+    g = list(group_cols)
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counted = (
+        df.select(*g, value_col).filter(F.col(value_col).isNotNull())
+        .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_n"))
+    )
+    checkpoint_dir(spark)
+    return (
+        counted.repartitionByRange(parts, *[F.col(c) for c in g], F.col(value_col))
+        .withColumn("_pid", F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
+
+
 def exact_median(
     df: DataFrame,
     group_cols: Sequence[str],
@@ -38,20 +58,9 @@ def exact_median(
     """Per group: the exact (interpolated) median of non-null ``value_col``
     and, if ``count_col`` is given, the number of non-null values.
     Groups with only null values are absent (as with ``groupBy().agg``)."""
-    spark = df.sparkSession
     g = list(group_cols)
     v = value_col
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counted = (
-        df.select(*g, v).filter(F.col(v).isNotNull())
-        .groupBy(*g, v).agg(F.count(F.lit(1)).alias("_n"))
-    )
-    checkpoint_dir(spark)
-    ranged = (
-        counted.repartitionByRange(parts, *[F.col(c) for c in g], F.col(v))
-        .withColumn("_pid", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    ranged = value_pieces(df, g, v, partitions)
     piece = Window.partitionBy("_pid", *g).orderBy(v).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("_cum", F.sum("_n").over(piece))
     totals = ranged.groupBy("_pid", *g).agg(F.sum("_n").alias("_t"))

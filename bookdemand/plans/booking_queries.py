@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookdemand import schemas as S
-from bookdemand.operators.join import join_rooms
+from bookdemand.operators.aggregates import control_totals, group_sizes
+from bookdemand.operators.join import join_dimension, join_rooms
 from bookdemand.operators.ranking import top_n_per_group
 from bookdemand.operators.requests import demand_by_room, filter_requests, priority_score, top_demand
 from bookdemand.plans.oracle_views import JOINED_CTE, REQUESTS_CTE, ROOMS_CTE, minutes_between, score_sql
@@ -57,11 +58,37 @@ def group_demand_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- T3 ---------------------------------------------------------------------
 @register("join_dimension", f"""WITH {REQUESTS_CTE}, {ROOMS_CTE}, {JOINED_CTE}
 SELECT * FROM joined""")
-def join_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+def join_dimension_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T3: requests × rooms, many-to-one checked, strategy from measured size."""
     return join_rooms(load_requests(spark, sf_dir), load_rooms(spark, sf_dir))
 
 
+@register("join_lineitem_part", """SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_quantity,
+       p.p_name AS part_name, p.p_brand AS part_brand, p.p_size AS part_size
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""")
+def join_lineitem_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3's operator on another star: line items × parts (N:1 on part key)."""
+    lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return join_dimension(
+        lines, read_table(spark, sf_dir, "part"), fact_key="l_partkey", dim_key="p_partkey",
+        columns=[("p_name", "part_name"), ("p_brand", "part_brand"), ("p_size", "part_size")],
+    )
+
+
+@register("group_sizes", """SELECT l_returnflag, l_linestatus, count(*) AS rows
+FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+def group_sizes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-4: rows per key (a null key would be its own group)."""
+    return group_sizes(read_table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"])
+
+
+@register("control_totals", """SELECT count(*) AS rows, CAST(sum(l_quantity) AS DOUBLE) AS total,
+       CAST(avg(l_quantity) AS DOUBLE) AS mean FROM lineitem""")
+def control_totals_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-5: global row count, sum and mean of a control column."""
+    return control_totals(read_table(spark, sf_dir, "lineitem"), "l_quantity")
+
+
 # --- T4 ---------------------------------------------------------------------
 @register("priority_score", f"""WITH {REQUESTS_CTE}, {ROOMS_CTE}, {JOINED_CTE}
 SELECT *, {score_sql(APPROVED_STATUS)} AS priority_score FROM joined""")
