@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 from bookdemand import schemas as S
+from bookdemand.session import MEASURED_BROADCAST_LIMIT
 
 # Room columns T3 adds, renamed so nothing clashes with request columns.
 ROOM_VIEW = [
@@ -105,9 +106,8 @@ def check_many_to_one(dim: DataFrame, key: str) -> DimensionProfile:
     return profile
 
 
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's broadcast threshold in bytes (-1 = broadcast disabled)."""
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+def _bytes(raw: str) -> int:
+    raw = raw.strip().lower()
     units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
     for suffix in sorted(units, key=len, reverse=True):
         if raw.endswith(suffix):
@@ -115,6 +115,18 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(raw)
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Largest *measured* dimension the library broadcasts, in bytes.
+
+    The adaptive threshold (which AQE also applies to measured shuffle
+    output) is used; -1 disables broadcasting.  The planning-time
+    ``autoBroadcastJoinThreshold`` is deliberately not consulted: the library
+    session turns it off because it acts on estimates.
+    """
+    raw = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    return _bytes(raw) if raw else MEASURED_BROADCAST_LIMIT
+
+
 def resolve_strategy(spark: SparkSession, strategy: str, profile: DimensionProfile | None,
                      max_broadcast_bytes: int | None = None) -> str:
     if strategy not in STRATEGIES:

@@ -23,9 +23,21 @@ ADAPTIVE = {
 }
 
 
+# Broadcast policy: never on a planning-time *estimate* (parquet file sizes
+# can understate memory size many times over).  Sides are broadcast either
+# after the library measured them (``operators.join``) or by AQE from the
+# bytes a finished shuffle stage actually wrote.
+JOIN_POLICY = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+}
+MEASURED_BROADCAST_LIMIT = 10 * 1024 * 1024
+
+
 def ensure_semantics(spark: SparkSession) -> SparkSession:
-    """Set the pinned settings on an existing session (idempotent)."""
-    for key, value in PINNED_SEMANTICS.items():
+    """Set the pinned settings and the broadcast policy on an existing
+    session (idempotent)."""
+    for key, value in {**PINNED_SEMANTICS, **JOIN_POLICY}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
@@ -45,7 +57,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = {"spark.ui.enabled": "false", **PINNED_SEMANTICS, **ADAPTIVE}
+    conf = {"spark.ui.enabled": "false", **PINNED_SEMANTICS, **ADAPTIVE, **JOIN_POLICY}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
