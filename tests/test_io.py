@@ -102,3 +102,14 @@ def test_landing_zone_prunes_months(spark, tmp_path):
     assert t1.count() == 12
     pf = [line for line in plan_text(t1).splitlines() if "PartitionFilters" in line]
     assert pf and "booking_month" in pf[0] and ">= 2024-07" in pf[0]
+
+
+def test_output_job_publishes_every_transformation(spark, tmp_path):
+    from bookdemand.jobs import OUTPUT_NAMES, publish_booking_outputs
+    from bookdemand.sources.tables import load_requests, load_rooms
+    sf = "/root/testdata/sf0.001"
+    done = publish_booking_outputs(load_requests(spark, sf), load_rooms(spark, sf), str(tmp_path / "out"),
+                                   approved="F", start="1996-07-01", end="1997-06-30")
+    assert set(done) == set(OUTPUT_NAMES.values())
+    counts = {k: spark.read.option("header", True).csv(p).count() for k, p in done.items()}
+    assert counts["T3_join"] == counts["T4_score"] == 1500 and counts["T5_top"] == 20
