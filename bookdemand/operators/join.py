@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 from bookdemand import schemas as S
-from bookdemand.session import MEASURED_BROADCAST_LIMIT
+from bookdemand.session import MEASURED_BROADCAST_LIMIT, checkpoint_dir
 
 # Room columns T3 adds, renamed so nothing clashes with request columns.
 ROOM_VIEW = [
@@ -148,7 +148,11 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, *, salt_buckets: int
     broadcast.  The salt is a hash of the whole fact row, so a retried task
     sends every row to the same sub-key again.
     """
+    checkpoint_dir(fact.sparkSession)
+    # one aggregation pass over the fact; the (small) hot-key set is kept in
+    # the shared checkpoint folder so the join below does not recompute it
     hot = fact.groupBy(key).count().filter(F.col("count") >= F.lit(hot_key_rows)).select(key)
+    hot = hot.checkpoint(eager=True)
     n_hot = hot.count()
     if n_hot == 0 or n_hot > MAX_HOT_KEYS:
         # No hot key, or so many that load is already spread: a plain shuffle
