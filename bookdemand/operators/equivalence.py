@@ -83,12 +83,17 @@ def row_multiset_check(left: DataFrame, right: DataFrame, columns: Sequence[str]
     ).withColumn("status", _status(F.col("differing") == 0))
 
 
-def ordered_check(left: DataFrame, right: DataFrame, order_cols: Sequence[Column], id_col: str) -> DataFrame:
+def ordered_check(left: DataFrame, right: DataFrame, order_cols: Sequence[Column], id_col: str,
+                  *, max_rows: int = 100_000) -> DataFrame:
     """EQ-5 for ranked results: the same ids at the same positions.
 
-    Meant for top-n outputs (bounded by their n); positions come from
-    ``row_number`` over the stated total order.
+    For top-n outputs: positions come from ``row_number`` over the stated
+    total order, which runs in one task, so both inputs are first checked to
+    hold at most ``max_rows`` rows (larger inputs are refused, not cut).
     """
+    for side in (left, right):
+        if side.limit(max_rows + 1).count() > max_rows:
+            raise ValueError(f"ordered_check is for ranked outputs of at most {max_rows} rows")
     w = Window.orderBy(*order_cols)
     pos_l = left.select(F.row_number().over(w).alias("_pos"), F.col(id_col).alias("_id"))
     pos_r = right.select(F.row_number().over(w).alias("_pos"), F.col(id_col).alias("_id"))

@@ -23,5 +23,10 @@ def top_n_per_group(
     """
     if n <= 0:
         raise ValueError("top_n_per_group needs n > 0")
+    spark = df.sparkSession
+    threshold = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if 0 <= threshold < n:
+        # keep the partial limit for larger n as well
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", str(n))
     w = Window.partitionBy(*group_cols).orderBy(*order_cols)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= F.lit(n))

@@ -151,7 +151,6 @@ def ranking_upsert_sink(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         checkpoint_dir(spark)
         touched = batch.select(window_col).distinct()
         if _exists(spark, path):
@@ -163,7 +162,8 @@ def ranking_upsert_sink(
         ranked = top_n_per_group(merged.dropDuplicates([id_col]), [window_col], list(order_cols), n)
         # cut the lineage to the stored files before overwriting them (reliable checkpoint)
         ranked = ranked.checkpoint(eager=True)
-        ranked.write.mode("overwrite").partitionBy(window_col).parquet(path)
+        ranked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy(window_col).parquet(path)
 
     return write
 
