@@ -67,6 +67,33 @@ def build_session(
     return ensure_semantics(spark)
 
 
+def scale_settings(
+    input_bytes: int,
+    total_cores: int,
+    *,
+    split_bytes: int = 256 << 20,
+    shuffle_partition_bytes: int = 200 << 20,
+    max_shuffle_partitions: int = 100_000,
+) -> dict[str, str]:
+    """Spill-aware sizing for a job reading ``input_bytes`` on ``total_cores``.
+
+    Scan splits of ``split_bytes``; an initial shuffle width that gives each
+    reduce task about ``shuffle_partition_bytes`` of the input (at least two
+    waves of the cluster, at most ``max_shuffle_partitions``), which AQE then
+    coalesces towards its advisory size and splits where a partition is
+    skewed.  Example: 100 TB on 8,000 cores → 100,000 shuffle partitions.
+    """
+    wanted = -(-input_bytes // shuffle_partition_bytes)
+    partitions = max(2 * total_cores, min(wanted, max_shuffle_partitions))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming state.
 

@@ -90,3 +90,12 @@ def test_iso_formats(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5), dt.date(2024, 1, 2))], "t timestamp, d date")
     r = df.select(iso_instant("t").alias("i"), iso_date("d").alias("d")).first()
     assert r["i"] == "2024-01-02T03:04:05+00:00" and r["d"] == "2024-01-02"
+
+
+def test_scale_settings():
+    from bookdemand.session import scale_settings
+    big = scale_settings(100 * 10**12, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+    small = scale_settings(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
