@@ -67,8 +67,11 @@ def exact_median(
     before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0))) \
         .withColumn("_size", F.sum("_t").over(Window.partitionBy(*g)))
-    ranked = local.join(offsets, on=["_pid", *g], how="inner").select(
-        *g, v,
+    # null-safe on the group columns: a null group is a group, as in groupBy
+    offsets = offsets.select("_pid", *[F.col(c).alias(f"_o_{c}") for c in g], "_off", "_size")
+    cond = [local["_pid"] == offsets["_pid"]] + [local[c].eqNullSafe(offsets[f"_o_{c}"]) for c in g]
+    ranked = local.join(offsets, on=cond, how="inner").select(
+        *[local[c] for c in g], local[v],
         (F.col("_off") + F.col("_cum") - F.col("_n") + 1).alias("_first"),
         (F.col("_off") + F.col("_cum")).alias("_last"),
         F.col("_size"),
