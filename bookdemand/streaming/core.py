@@ -189,3 +189,26 @@ def run_available_now(
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return query
+
+
+def start_stream(
+    stream: DataFrame,
+    checkpoint: str,
+    *,
+    sink_path: str | None = None,
+    foreach_batch: Callable[[DataFrame, int], None] | None = None,
+    output_mode: str = "append",
+    processing_time: str = "30 seconds",
+    fmt: str = "parquet",
+    name: str | None = None,
+) -> StreamingQuery:
+    """S-6: a long-running query with a processing-time trigger (the
+    production form of ``run_available_now``); the caller owns ``stop()``."""
+    writer = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
+    if foreach_batch is not None:
+        writer = writer.foreachBatch(foreach_batch)
+    else:
+        writer = writer.format(fmt).option("path", sink_path)
+    return writer.trigger(processingTime=processing_time).start()

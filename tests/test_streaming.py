@@ -77,3 +77,18 @@ def test_ranking_upsert_merges_batches_and_ignores_replays(spark, tmp_path):
     sink(b1, 1)  # replayed batch
     got = sorted((r["day"], r["rank"], r["event_id"]) for r in spark.read.parquet(path).collect())
     assert got == [(d1, 1, 5), (d1, 2, 1), (d2, 1, 3)]
+
+
+def test_processing_time_trigger(spark, tmp_path):
+    from bookdemand.streaming.core import start_stream
+    src, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    write_file(spark, src, [(i, t(1), 1, 1.0) for i in range(5)])
+    q = start_stream(file_stream(spark, src, spark.createDataFrame([], SCHEMA).schema), ck, sink_path=out,
+                     processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        write_file(spark, src, [(9, t(2), 1, 1.0)])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(out).count() == 6
