@@ -120,3 +120,22 @@ def write_landing_zone(requests: DataFrame, path: str, *, mode: str = "overwrite
         .partitionBy(S.BOOKING_MONTH)
         .parquet(path)
     )
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str, *, mode: str = "overwrite") -> str:
+    """Save ``df`` as a parquet table bucketed and sorted by ``key``.
+
+    Two tables bucketed the same way on the join key join with a sort-merge
+    join that needs no shuffle (the fact and a dimension too large to
+    broadcast are co-located once, at write time).  The table is external
+    (``path``) in the session catalog.
+    """
+    (
+        df.write.mode(mode)
+        .format("parquet")
+        .option("path", path)
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .saveAsTable(table)
+    )
+    return table

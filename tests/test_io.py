@@ -113,3 +113,17 @@ def test_output_job_publishes_every_transformation(spark, tmp_path):
     assert set(done) == set(OUTPUT_NAMES.values())
     counts = {k: spark.read.option("header", True).csv(p).count() for k, p in done.items()}
     assert counts["T3_join"] == counts["T4_score"] == 1500 and counts["T5_top"] == 20
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    from bookdemand.operators import join_rooms
+    from bookdemand.plans.inspect import exchange_count
+    from bookdemand.sinks.files import write_bucketed
+    from bookdemand.sources.tables import load_requests, load_rooms
+    sf = "/root/testdata/sf0.001"
+    write_bucketed(load_requests(spark, sf), "bk_requests", S.ROOM_ID, 8, str(tmp_path / "rq"))
+    write_bucketed(load_rooms(spark, sf), "bk_rooms", S.ROOM_ID, 8, str(tmp_path / "rm"))
+    joined = join_rooms(spark.table("bk_requests"), spark.table("bk_rooms"), strategy="merge")
+    text = plan_text(joined, "simple")
+    assert "SortMergeJoin" in text and exchange_count(joined) == 0
+    assert joined.count() == 1500
