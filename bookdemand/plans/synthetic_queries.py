@@ -9,10 +9,12 @@ generator's acceptance test.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from bookdemand import schemas as S
 from bookdemand.operators.quality import booking_quality_report
 from bookdemand.plans.registry import register
-from bookdemand.sources.synthetic import synthetic_requests, synthetic_rooms
+from bookdemand.sources.synthetic import DEFAULT_NAMESPACE, ROOMS_PER_FLOOR, synthetic_requests, synthetic_rooms
 from bookdemand.sources.tables import read_table
 
 SEED = 20260804
@@ -35,3 +37,24 @@ def synthetic_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GEN acceptance: the DQ report over the generated tables (all zero)."""
     rooms, requests = _generated(spark, sf_dir)
     return booking_quality_report(requests, rooms.drop("room_index"))
+
+
+def _uuid5_sql(name_sql: str) -> str:
+    """DuckDB form of ``functions.uuid5`` under the generator's namespace."""
+    h = f"sha1(unhex('{DEFAULT_NAMESPACE.hex}') || encode({name_sql}))"
+    variant = f"substr('89ab', (strpos('0123456789abcdef', substr({h}, 17, 1)) - 1) % 4 + 1, 1)"
+    return (f"substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' "
+            f"|| {variant} || substr({h}, 18, 3) || '-' || substr({h}, 21, 12)")
+
+
+@register("uuid5_keys", f"""SELECT c_custkey AS room_index,
+  {_uuid5_sql("'room:' || CAST(c_custkey AS VARCHAR)")} AS {S.ROOM_ID},
+  {_uuid5_sql(f"'floor:' || CAST(c_custkey // {ROOMS_PER_FLOOR} + 1 AS VARCHAR)")} AS {S.FLOOR_ID},
+  printf('LAB-%03d', c_custkey + 1) AS {S.CODE}
+FROM customer""")
+def uuid5_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SF-13 / SF-14: the generator's deterministic room identifiers (UUIDv5
+    of ``room:<key>`` and ``floor:<key // 10 + 1>``, zero-padded code) for
+    every customer key.  Pure column expressions, fused into the scan."""
+    rooms = synthetic_rooms(read_table(spark, sf_dir, "customer"), "c_custkey", seed=SEED)
+    return rooms.select(F.col("room_index"), S.ROOM_ID, S.FLOOR_ID, S.CODE)
