@@ -174,6 +174,20 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, *, salt_buckets: int
     return f.join(d, on=[key, "_salt"], how="inner").drop("_salt")
 
 
+_SLIM: dict[tuple, tuple[DataFrame, DataFrame]] = {}
+
+
+def _slim(dim: DataFrame, dim_key: str, fact_key: str, columns: tuple[tuple[str, str], ...]) -> DataFrame:
+    """The dimension's join key and added columns, built once per ``dim``
+    object (a plan, no data; DataFrames are immutable)."""
+    memo_key = (id(dim), dim_key, fact_key, columns)
+    hit = _SLIM.get(memo_key)
+    if hit is None or hit[0] is not dim:
+        hit = (dim, dim.select(F.col(dim_key).alias(fact_key), *[F.col(src).alias(dst) for src, dst in columns]))
+        _SLIM[memo_key] = hit
+    return hit[1]
+
+
 def join_dimension(
     fact: DataFrame,
     dim: DataFrame,
@@ -198,7 +212,7 @@ def join_dimension(
     """
     S.require_columns(fact, (fact_key,), "join_dimension fact")
     S.require_columns(dim, [dim_key] + [src for src, _ in columns], "join_dimension dimension")
-    slim = dim.select(F.col(dim_key).alias(fact_key), *[F.col(src).alias(dst) for src, dst in columns])
+    slim = _slim(dim, dim_key, fact_key, tuple(columns))
     profile = None
     if validate:
         profile = check_many_to_one(slim, fact_key)

@@ -32,6 +32,11 @@ def _as_date(c: str) -> Column:
     return F.col(c).cast("date")
 
 
+def _sql_text(value: str) -> str:
+    """``value`` as a SQL string literal."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def filter_requests(
     requests: DataFrame,
     *,
@@ -48,15 +53,16 @@ def filter_requests(
     """
     S.require_columns(requests, REQUEST_VIEW, "filter_requests")
     condition = (
-        (F.col(S.STATUS) == F.lit(approved))
-        & (F.col(S.ATTENDEES) >= F.lit(min_attendees))
-        & _as_date(S.BOOKING_DATE).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+        f"{ident(S.STATUS)} = {_sql_text(approved)} AND {ident(S.ATTENDEES)} >= {int(min_attendees)}"
+        f" AND CAST({ident(S.BOOKING_DATE)} AS DATE)"
+        f" BETWEEN DATE {_sql_text(start)} AND DATE {_sql_text(end)}"
     )
     if S.BOOKING_MONTH in requests.columns:
         # Landing zone partitioned by month: the implied month range prunes
         # whole directories before any file is listed or opened.
-        condition = condition & F.col(S.BOOKING_MONTH).between(F.lit(start[:7]), F.lit(end[:7]))
-    return requests.filter(condition).select(*REQUEST_VIEW)
+        condition += f" AND {ident(S.BOOKING_MONTH)} BETWEEN {_sql_text(start[:7])} AND {_sql_text(end[:7])}"
+    # one SQL expression: a single round trip to the JVM to build the predicate
+    return requests.filter(F.expr(condition)).select(*REQUEST_VIEW)
 
 
 def demand_by_room(
@@ -142,10 +148,9 @@ def top_demand(requests: DataFrame, n: int = S.TOP_N) -> DataFrame:
     S.require_columns(requests, REQUEST_VIEW, "top_demand")
     if n <= 0:
         raise ValueError("top_demand needs n > 0")
+    view = [_as_date(c).alias(c) if c == S.BOOKING_DATE else F.col(c) for c in REQUEST_VIEW]
     return (
-        requests.select(*REQUEST_VIEW)
-        .withColumn(S.BOOKING_DATE, _as_date(S.BOOKING_DATE))
-        .withColumn(S.DURATION_MIN, minutes_between(S.START_TIME, S.END_TIME))
+        requests.select(*view, minutes_between(S.START_TIME, S.END_TIME).alias(S.DURATION_MIN))
         .orderBy(
             F.col(S.ATTENDEES).desc(),
             F.col(S.DURATION_MIN).desc(),

@@ -91,12 +91,30 @@ def rooms_from_customer(customer: DataFrame) -> DataFrame:
     return customer.selectExpr(*ROOM_EXPRS)
 
 
+_DERIVED: dict[tuple[int, str], tuple[DataFrame, DataFrame]] = {}
+
+
+def _derived(relation: DataFrame, name: str, build) -> DataFrame:
+    """``build(relation)``, kept as long as ``relation`` is the current one.
+
+    A derived view is a pure function of its relation (a plan, no data), so
+    it is analysed once per relation like a catalog view; ``read_table(...,
+    refresh=True)`` yields a new relation and with it a new view.
+    """
+    key = (id(relation), name)
+    hit = _DERIVED.get(key)
+    if hit is None or hit[0] is not relation:
+        hit = (relation, build(relation))
+        _DERIVED[key] = hit
+    return hit[1]
+
+
 def load_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return requests_from_orders(read_table(spark, sf_dir, "orders"))
+    return _derived(read_table(spark, sf_dir, "orders"), "requests", requests_from_orders)
 
 
 def load_rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rooms_from_customer(read_table(spark, sf_dir, "customer"))
+    return _derived(read_table(spark, sf_dir, "customer"), "rooms", rooms_from_customer)
 
 
 def measurements_from_events(events: DataFrame) -> DataFrame:

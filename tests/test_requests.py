@@ -151,3 +151,21 @@ def test_score_sql_equals_column_form(spark):
     df = join_rooms(req(spark, rows), rooms(spark), strategy="broadcast", validate=False)
     got = df.select(F.expr(priority_score_sql("O'Neil")).alias("a"), priority_score_column("O'Neil").alias("b"))
     assert all(r["a"] == r["b"] for r in got.collect())
+
+
+def test_t1_state_literal_with_quote_and_backslash(spark):
+    odd = "O'K\\x"
+    rows = [base_row(1, status=odd), base_row(2, status="O'K"), base_row(3)]
+    got = [r["request_id"] for r in filter_requests(req(spark, rows), approved=odd).collect()]
+    assert got == ["r1"]
+
+
+def test_adapter_views_follow_a_refreshed_relation(spark):
+    from bookdemand.sources.tables import load_requests, read_table
+
+    sf = "/root/testdata/sf0.001"
+    first = load_requests(spark, sf)
+    assert load_requests(spark, sf) is first
+    read_table(spark, sf, "orders", refresh=True)
+    again = load_requests(spark, sf)
+    assert again is not first and again.columns == first.columns
