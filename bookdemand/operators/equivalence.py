@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bookdemand.operators.ranking import global_positions
+
 REPORT_COLUMNS = ["check", "left_value", "right_value", "differing", "status"]
 
 
@@ -83,20 +85,15 @@ def row_multiset_check(left: DataFrame, right: DataFrame, columns: Sequence[str]
     ).withColumn("status", _status(F.col("differing") == 0))
 
 
-def ordered_check(left: DataFrame, right: DataFrame, order_cols: Sequence[Column], id_col: str,
-                  *, max_rows: int = 100_000) -> DataFrame:
+def ordered_check(left: DataFrame, right: DataFrame, order_cols: Sequence[Column], id_col: str) -> DataFrame:
     """EQ-5 for ranked results: the same ids at the same positions.
 
-    For top-n outputs: positions come from ``row_number`` over the stated
-    total order, which runs in one task, so both inputs are first checked to
-    hold at most ``max_rows`` rows (larger inputs are refused, not cut).
+    Positions come from ``ranking.global_positions`` over the stated total
+    order (range-partitioned, no single-task sort), so inputs of any size
+    are checked whole.
     """
-    for side in (left, right):
-        if side.limit(max_rows + 1).count() > max_rows:
-            raise ValueError(f"ordered_check is for ranked outputs of at most {max_rows} rows")
-    w = Window.orderBy(*order_cols)
-    pos_l = left.select(F.row_number().over(w).alias("_pos"), F.col(id_col).alias("_id"))
-    pos_r = right.select(F.row_number().over(w).alias("_pos"), F.col(id_col).alias("_id"))
+    pos_l = global_positions(left, order_cols, out_col="_pos").select("_pos", F.col(id_col).alias("_id"))
+    pos_r = global_positions(right, order_cols, out_col="_pos").select("_pos", F.col(id_col).alias("_id"))
     return row_multiset_check(pos_l, pos_r).withColumn("check", F.lit("same_order"))
 
 

@@ -1,4 +1,4 @@
-"""Top-n per group (WR-1)."""
+"""Top-n per group (WR-1) and global positions under a total order."""
 
 from __future__ import annotations
 
@@ -7,6 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bookdemand.session import checkpoint_dir
+
+# monotonically_increasing_id(): partition index in the upper 31 bits, the
+# record number inside the partition in the lower 33.
+_LOCAL_BITS = 33
+
 
 def top_n_per_group(
     df: DataFrame,
@@ -30,3 +36,38 @@ def top_n_per_group(
         spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", str(n))
     w = Window.partitionBy(*group_cols).orderBy(*order_cols)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= F.lit(n))
+
+
+def global_positions(
+    df: DataFrame,
+    order_cols: Sequence[Column],
+    *,
+    out_col: str = "position",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Every row of ``df`` with its 1-based position under ``order_cols``.
+
+    ``row_number()`` over an unpartitioned window sorts everything in one
+    task.  Here the rows are range-partitioned on the order (checkpointed in
+    the shared folder, so each row's partition is fixed even if an executor
+    is lost), sorted inside each partition and numbered there; the position
+    is the number of rows in earlier partitions plus the local number.  The
+    per-partition counts are one row per partition, so the prefix sum over
+    them and its broadcast are bounded by the partition count, not the data.
+    With a total order (a unique last key) equal leading keys are still split
+    over several partitions.
+    """
+    spark = df.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    checkpoint_dir(spark)
+    ranged = df.repartitionByRange(parts, *order_cols).checkpoint(eager=True)
+    numbered = ranged.sortWithinPartitions(*order_cols).withColumn("_mid", F.monotonically_increasing_id())
+    counts = ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+    return (
+        numbered.withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS).cast("int"))
+        .join(F.broadcast(offsets), on="_pid", how="inner")
+        .select(*[F.col(c) for c in df.columns], (F.col("_off") + local + F.lit(1)).alias(out_col))
+    )

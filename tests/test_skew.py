@@ -53,3 +53,38 @@ def test_top_n_in_hot_group(skewed):
     assert out.count() == skewed.select(S.ROOM_ID).distinct().count() * 2
     hot = [r[S.REQUEST_ID] for r in out.filter(F.col(S.ROOM_ID) == 0).orderBy("rank").collect()]
     assert len(hot) == 2
+
+
+def test_global_positions_match_row_number_with_hot_leading_key(spark):
+    from pyspark.sql import Window
+
+    from bookdemand.operators.ranking import global_positions
+
+    # a third of the rows share the leading key; id makes the order total
+    df = spark.range(30_000).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 101).alias("k"),
+        (F.col("id") % 13).alias("v"),
+    )
+    order = [F.col("k").desc(), F.col("v").asc(), F.col("id").asc()]
+    got = global_positions(df, order, out_col="pos", partitions=8)
+    want = df.withColumn("pos", F.row_number().over(Window.orderBy(*order)))
+    assert got.count() == 30_000
+    assert got.select("id", "pos").exceptAll(want.select("id", "pos")).count() == 0
+    # the hot key is spread over several range partitions
+    hot_parts = (df.repartitionByRange(8, *order).filter(F.col("k") == 7)
+                 .select(F.spark_partition_id()).distinct().count())
+    assert hot_parts > 1
+
+
+def test_ordered_check_is_not_bounded(spark):
+    from bookdemand.operators.equivalence import ordered_check
+
+    n = 150_000  # above any single-task bound
+    a = spark.range(n).select(F.col("id"), (F.col("id") % 1000).alias("s"))
+    order = [F.col("s").desc(), F.col("id").asc()]
+    assert ordered_check(a, a, order, "id").first()["status"] == "PASS"
+    # same rows, one score changed so two ids trade places
+    b = a.withColumn("s", F.when(F.col("id") == 5, F.lit(999)).otherwise(F.col("s")))
+    rep = ordered_check(a, b, order, "id").first()
+    assert rep["status"] == "FAIL" and rep["differing"] > 0
