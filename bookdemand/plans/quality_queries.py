@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookdemand.operators.aggregates import duplicate_keys
-from bookdemand.operators.equivalence import equivalence_report
+from bookdemand.operators.equivalence import equivalence_report, ordered_check, row_multiset_check
 from bookdemand.operators.fingerprint import table_fingerprint
 from bookdemand.operators.join import join_rooms
 from bookdemand.operators.quality import booking_quality_report, missing_keys
-from bookdemand.operators.requests import demand_by_room, filter_requests
-from bookdemand.plans.oracle_views import REQUESTS_CTE, ROOMS_CTE, secs
+from bookdemand.operators.requests import REQUEST_VIEW, demand_by_room, filter_requests, top_demand
+from bookdemand import schemas as S
+from bookdemand.plans.oracle_views import REQUESTS_CTE, ROOMS_CTE, minutes_between, secs
 from bookdemand.plans.registry import register
 from bookdemand.sources.tables import YEAR_END, YEAR_START, load_requests, load_rooms, read_table
 
@@ -152,3 +153,44 @@ def equivalence_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = filter_requests(requests, approved="F", start=YEAR_START, end=YEAR_END)
     right = filter_requests(requests, approved="O", start=YEAR_START, end=YEAR_END)
     return equivalence_report(left, right, value_col="attendees", keys=["room_id"])
+
+
+# --- EQ-5 ordered identity: T5 directly vs. from T3's joined rows ------------
+_T5_ORDER_SQL = "attendees DESC, duration_min DESC, booking_date ASC, request_id ASC"
+_T5_COLS = "request_id, room_id, booking_date, start_time, end_time, attendees, status, duration_min"
+
+
+def _t5_sql(source: str) -> str:
+    return (f"SELECT {_T5_COLS} FROM (SELECT r.request_id, r.room_id, r.booking_date, r.start_time, r.end_time, "
+            f"r.attendees, r.status, {minutes_between('r.start_time', 'r.end_time')} AS duration_min "
+            f"FROM {source}) ORDER BY {_T5_ORDER_SQL} LIMIT {S.TOP_N}")
+
+
+def _diff_sql(name: str, cols: str, lhs: str, rhs: str) -> str:
+    return (f"SELECT '{name}' AS \"check\", coalesce(sum(c0), 0)::DOUBLE AS left_value, "
+            f"coalesce(sum(c1), 0)::DOUBLE AS right_value, CAST(coalesce(sum(abs(c0 - c1)), 0) AS BIGINT) AS differing, "
+            f"CASE WHEN coalesce(sum(abs(c0 - c1)), 0) = 0 THEN 'PASS' ELSE 'FAIL' END AS status "
+            f"FROM (SELECT {cols}, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS c0, "
+            f"sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS c1 "
+            f"FROM (SELECT {cols}, 0 AS side FROM {lhs} UNION ALL SELECT {cols}, 1 FROM {rhs}) GROUP BY {cols})")
+
+
+@register("equivalence_order", f"""WITH {REQUESTS_CTE}, {ROOMS_CTE},
+lhs AS ({_t5_sql("requests r")}),
+rhs AS ({_t5_sql("requests r JOIN rooms m ON r.room_id = m.room_id")}),
+pl AS (SELECT row_number() OVER (ORDER BY {_T5_ORDER_SQL}) AS _pos, request_id AS _id FROM lhs),
+pr AS (SELECT row_number() OVER (ORDER BY {_T5_ORDER_SQL}) AS _pos, request_id AS _id FROM rhs)
+{_diff_sql("same_rows", _T5_COLS, "lhs", "rhs")}
+UNION ALL {_diff_sql("same_order", "_pos, _id", "pl", "pr")}""")
+def equivalence_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EQ-5 on T5: the top 20 computed directly and from T3's joined rows are
+    the same rows in the same order (both PASS)."""
+    requests = load_requests(spark, sf_dir)
+    direct = top_demand(requests, S.TOP_N)
+    via_join = top_demand(join_rooms(requests, load_rooms(spark, sf_dir)).select(*REQUEST_VIEW), S.TOP_N)
+    order = [F.col(S.ATTENDEES).desc(), F.col(S.DURATION_MIN).desc(), F.col(S.BOOKING_DATE).asc(),
+             F.col(S.REQUEST_ID).asc()]
+    same_rows = row_multiset_check(direct, via_join)
+    same_order = ordered_check(direct, via_join, order, S.REQUEST_ID)
+    cols = ["check", "left_value", "right_value", "differing", "status"]
+    return same_rows.select(*cols).unionByName(same_order.select(*cols))
