@@ -88,13 +88,17 @@ def row_multiset_check(left: DataFrame, right: DataFrame, columns: Sequence[str]
 def ordered_check(left: DataFrame, right: DataFrame, order_cols: Sequence[Column], id_col: str) -> DataFrame:
     """EQ-5 for ranked results: the same ids at the same positions.
 
-    Positions come from ``ranking.global_positions`` over the stated total
-    order (range-partitioned, no single-task sort), so inputs of any size
-    are checked whole.
+    Both sides are numbered in one pass by ``ranking.global_positions``
+    (the side is the group; range-partitioned, no single-task sort), so
+    inputs of any size are checked whole.
     """
-    pos_l = global_positions(left, order_cols, out_col="_pos").select("_pos", F.col(id_col).alias("_id"))
-    pos_r = global_positions(right, order_cols, out_col="_pos").select("_pos", F.col(id_col).alias("_id"))
-    return row_multiset_check(pos_l, pos_r).withColumn("check", F.lit("same_order"))
+    cols = list(left.columns)
+    both = left.select(*cols, F.lit(0).alias("_side")).unionByName(right.select(*cols, F.lit(1).alias("_side")))
+    pos = global_positions(both, order_cols, partition_cols=["_side"], out_col="_pos")
+    pos = pos.select("_side", "_pos", F.col(id_col).alias("_id"))
+    return row_multiset_check(
+        pos.filter(F.col("_side") == 0).drop("_side"), pos.filter(F.col("_side") == 1).drop("_side")
+    ).withColumn("check", F.lit("same_order"))
 
 
 def equivalence_report(

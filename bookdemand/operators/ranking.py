@@ -42,32 +42,59 @@ def global_positions(
     df: DataFrame,
     order_cols: Sequence[Column],
     *,
+    partition_cols: Sequence[str] = (),
     out_col: str = "position",
     partitions: int | None = None,
+    max_broadcast_pieces: int = 1_000_000,
 ) -> DataFrame:
-    """Every row of ``df`` with its 1-based position under ``order_cols``.
+    """Every row of ``df`` with its 1-based position under ``order_cols``
+    inside its ``partition_cols`` group (the whole frame when none) — what
+    ``row_number()`` over that window gives, without one task per group.
 
-    ``row_number()`` over an unpartitioned window sorts everything in one
-    task.  Here the rows are range-partitioned on the order (checkpointed in
-    the shared folder, so each row's partition is fixed even if an executor
-    is lost), sorted inside each partition and numbered there; the position
-    is the number of rows in earlier partitions plus the local number.  The
-    per-partition counts are one row per partition, so the prefix sum over
-    them and its broadcast are bounded by the partition count, not the data.
-    With a total order (a unique last key) equal leading keys are still split
-    over several partitions.
+    A window sorts a whole group (or, unpartitioned, everything) in one task.
+    Here rows are range-partitioned on (group, order) — checkpointed in the
+    shared folder, so each row's partition is fixed even if an executor is
+    lost — sorted and numbered inside each partition.  A *piece* is the part
+    of one group in one partition; from the piece counts (at most groups +
+    partitions rows) come the rows of the group in earlier partitions and the
+    piece's first local number.  That table is broadcast only when its
+    counted size is at most ``max_broadcast_pieces`` rows, else joined by
+    key.  With a total order (a unique last key) a hot group is split over
+    many partitions.
     """
     spark = df.sparkSession
+    g = list(partition_cols)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) for c in g] + list(order_cols)
     checkpoint_dir(spark)
-    ranged = df.repartitionByRange(parts, *order_cols).checkpoint(eager=True)
-    numbered = ranged.sortWithinPartitions(*order_cols).withColumn("_mid", F.monotonically_increasing_id())
-    counts = ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
-    local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    return (
-        numbered.withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS).cast("int"))
-        .join(F.broadcast(offsets), on="_pid", how="inner")
-        .select(*[F.col(c) for c in df.columns], (F.col("_off") + local + F.lit(1)).alias(out_col))
+    ranged = df.repartitionByRange(parts, *keys).checkpoint(eager=True)
+    mid = F.monotonically_increasing_id()
+    numbered = (
+        ranged.sortWithinPartitions(*keys)
+        .withColumn("_mid", mid)
+        .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS).cast("int"))
+        .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
+    )
+    pieces = ranged.groupBy(F.spark_partition_id().alias("_pid"), *g).agg(F.count(F.lit(1)).alias("_n"))
+    # groups are contiguous inside a partition, in the sort's group order
+    in_partition = Window.partitionBy("_pid")
+    in_group = Window.partitionBy(*g) if g else Window.partitionBy()
+    if g:
+        in_partition = in_partition.orderBy(*[F.col(c) for c in g])
+    else:
+        in_partition = in_partition.orderBy("_pid")
+    in_group = in_group.orderBy("_pid")
+    before = (Window.unboundedPreceding, -1)
+    offsets = pieces.select(
+        "_pid", *[F.col(c).alias(f"_o_{c}") for c in g],
+        F.coalesce(F.sum("_n").over(in_partition.rowsBetween(*before)), F.lit(0)).alias("_first"),
+        F.coalesce(F.sum("_n").over(in_group.rowsBetween(*before)), F.lit(0)).alias("_off"),
+    )
+    if not g or pieces.count() <= max_broadcast_pieces:
+        # one row per partition, or a counted number of pieces
+        offsets = F.broadcast(offsets)
+    cond = [numbered["_pid"] == offsets["_pid"]] + [numbered[c].eqNullSafe(offsets[f"_o_{c}"]) for c in g]
+    position = F.col("_off") + F.col("_local") - F.col("_first") + F.lit(1)
+    return numbered.join(offsets, on=cond, how="inner").select(
+        *[numbered[c] for c in df.columns], position.alias(out_col)
     )

@@ -88,3 +88,27 @@ def test_ordered_check_is_not_bounded(spark):
     b = a.withColumn("s", F.when(F.col("id") == 5, F.lit(999)).otherwise(F.col("s")))
     rep = ordered_check(a, b, order, "id").first()
     assert rep["status"] == "FAIL" and rep["differing"] > 0
+
+
+@pytest.mark.parametrize("max_pieces", [1_000_000, 0])  # broadcast offsets / joined offsets
+def test_grouped_positions_match_row_number_with_hot_and_null_groups(spark, max_pieces):
+    from pyspark.sql import Window
+
+    from bookdemand.operators.ranking import global_positions
+
+    df = spark.range(24_000).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .when(F.col("id") % 17 == 1, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("g"), (F.col("id") % 29).cast("string"))).alias("g"),
+        (F.col("id") % 11).alias("v"),
+    )
+    order = [F.col("v").desc(), F.col("id").asc()]
+    got = global_positions(df, order, partition_cols=["g"], out_col="pos", partitions=8,
+                           max_broadcast_pieces=max_pieces)
+    want = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    assert got.count() == 24_000
+    assert got.select("id", "pos").exceptAll(want.select("id", "pos")).count() == 0
+    hot_parts = (df.repartitionByRange(8, F.col("g"), *order).filter(F.col("g") == "hot")
+                 .select(F.spark_partition_id()).distinct().count())
+    assert hot_parts > 1
