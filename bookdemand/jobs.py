@@ -45,3 +45,49 @@ def booking_outputs(
 def publish_booking_outputs(requests: DataFrame, rooms: DataFrame, base: str, **params) -> dict[str, str]:
     """Write every output as a CSV directory under ``base`` (staged publish)."""
     return write_outputs(booking_outputs(requests, rooms, **params), base, staged=True)
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Command line: ``spark-submit bookdemand/jobs.py --requests R --rooms M --out DIR``
+    (or ``python -m bookdemand.jobs ...``).  Reads the two tables (strict CSV
+    with the published or canonical header, or parquet with canonical
+    columns) and publishes T1–T5 under ``DIR``; prints one ``name<TAB>path``
+    line per output."""
+    import argparse
+
+    from bookdemand.session import build_session
+    from bookdemand.sources.csv import read_requests_csv, read_rooms_csv
+
+    p = argparse.ArgumentParser(prog="bookdemand.jobs", description="Publish T1-T5 for a requests and a rooms table.")
+    p.add_argument("--requests", required=True, help="requests table (file or directory)")
+    p.add_argument("--rooms", required=True, help="rooms table (file or directory)")
+    p.add_argument("--out", required=True, help="base directory of the outputs")
+    p.add_argument("--format", choices=("csv", "parquet"), default="csv")
+    p.add_argument("--header", choices=("published", "canonical"), default="published",
+                   help="CSV header names: the published dataset's or the canonical ones")
+    p.add_argument("--master", default=None, help="only outside spark-submit, e.g. local[*]")
+    p.add_argument("--approved", default=S.APPROVED)
+    p.add_argument("--min-attendees", type=int, default=S.MIN_ATTENDEES)
+    p.add_argument("--start", default=S.WINDOW_START)
+    p.add_argument("--end", default=S.WINDOW_END)
+    p.add_argument("--top", type=int, default=S.TOP_N)
+    args = p.parse_args(argv)
+
+    spark = build_session(args.master)
+    if args.format == "parquet":
+        requests, rooms = spark.read.parquet(args.requests), spark.read.parquet(args.rooms)
+    else:
+        published = args.header == "published"
+        requests = read_requests_csv(spark, args.requests, S.PUBLISHED_REQUEST_HEADER if published else None)
+        rooms = read_rooms_csv(spark, args.rooms, S.PUBLISHED_ROOM_HEADER if published else None)
+    done = publish_booking_outputs(
+        requests, rooms, args.out, approved=args.approved, min_attendees=args.min_attendees,
+        start=args.start, end=args.end, n=args.top,
+    )
+    for name, path in sorted(done.items()):
+        print(f"{name}\t{path}")
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

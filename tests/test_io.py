@@ -127,3 +127,19 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
     text = plan_text(joined, "simple")
     assert "SortMergeJoin" in text and exchange_count(joined) == 0
     assert joined.count() == 1500
+
+
+def test_output_job_command_line(spark, tmp_path, capsys):
+    from bookdemand.jobs import OUTPUT_NAMES, main
+
+    reqs = write_text(tmp_path / "req.csv", [REQ_HEADER] + [req_line(i) for i in range(5)])
+    rooms = write_text(tmp_path / "rooms.csv", [ROOM_HEADER,
+                       "A,f,LAB-001,Lab 1,30,Redes,DISPONIBLE,true,2021-01-04T08:00:00+00:00,2022-01-01T08:00:00+00:00"])
+    out = str(tmp_path / "out")
+    assert main(["--requests", reqs, "--rooms", rooms, "--out", out, "--top", "3"]) == 0
+    printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    assert set(printed) == set(OUTPUT_NAMES.values())
+    read = lambda name: spark.read.option("header", True).csv(printed[name])
+    assert read("T1_filter").count() == 5 and read("T3_join").count() == 5
+    assert read("T2_group").count() == 1 and read("T5_top").count() == 3
+    assert "priority_score" in read("T4_score").columns
