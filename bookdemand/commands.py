@@ -2,6 +2,7 @@
 
     python -m bookdemand.commands generate --rooms 40 --requests 500000 --seed 20260804 --out DIR
     python -m bookdemand.commands metrics --timings raw.csv --out DIR --baseline engine=pandas
+    python -m bookdemand.commands compare --left A --right B --value request_count --key room_id
 
 ``generate`` writes synthetic rooms and requests (GEN-1 … GEN-5) under
 ``DIR/rooms`` and ``DIR/requests``: CSV with the published header (dates and
@@ -9,7 +10,9 @@ instants as ISO text), which the strict readers take back, or parquet with
 canonical columns.  ``metrics`` turns raw timings ``engine, operator, units,
 repetition, seconds`` into the median summary (M-1), speedups against a
 baseline series (M-2) and the long metric table (M-3 … M-10), doubles with
-nine decimals (SNK-6).  Every output is a staged publish.
+nine decimals (SNK-6).  ``compare`` is the equivalence gate between two
+published result tables (EQ-1 … EQ-6): it prints the PASS/FAIL report and
+exits with status 1 if any check fails.  Every output is a staged publish.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, Str
 
 from bookdemand import schemas as S
 from bookdemand.functions.dates import iso_date, iso_instant
+from bookdemand.operators.equivalence import equivalence_report
 from bookdemand.operators.scaling import median_summary, metrics_long, speedup_versus, unit_scaling
 from bookdemand.session import build_session
 from bookdemand.sinks.files import publish_staged, with_fixed_decimals, write_outputs
@@ -88,6 +92,32 @@ def metrics(spark, timings: str, out: str, baseline: Mapping[str, str] | None =
     return write_outputs({k: with_fixed_decimals(v) for k, v in outputs.items()}, out, staged=True)
 
 
+def read_result(spark, path: str, schema: str | None = None) -> DataFrame:
+    """A published result table (one CSV file or a directory of parts), read
+    by its header: with ``schema`` (DDL) typed, else every column as text —
+    never inferred.  An empty location is an error."""
+    reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    if schema:
+        reader = reader.schema(schema).option("enforceSchema", False)
+    else:
+        reader = reader.option("inferSchema", False)
+    df = reader.csv(path)
+    if not df.inputFiles():
+        raise FileNotFoundError(f"no CSV files at {path}")
+    return df
+
+
+def compare(spark, left: str, right: str, *, value: str, keys: list[str], schema: str | None = None,
+            compare_rows: bool = True, tol: float = 1e-9) -> DataFrame:
+    """EQ report of two result tables; the control column is read as a number."""
+    a, b = read_result(spark, left, schema), read_result(spark, right, schema)
+    if a.columns != b.columns:
+        raise ValueError(f"different columns: {a.columns} vs {b.columns}")
+    a = a.withColumn(value, F.col(value).cast("double"))
+    b = b.withColumn(value, F.col(value).cast("double"))
+    return equivalence_report(a, b, value_col=value, keys=keys, compare_rows=compare_rows, tol=tol)
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="bookdemand.commands")
     p.add_argument("--master", default=None, help="only outside spark-submit, e.g. local[*]")
@@ -104,9 +134,27 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--out", required=True)
     m.add_argument("--baseline", action="append", default=[], metavar="COLUMN=VALUE",
                    help="baseline series for speedups, e.g. engine=pandas (repeatable)")
+    c = sub.add_parser("compare", help="equivalence gate between two result tables")
+    c.add_argument("--left", required=True)
+    c.add_argument("--right", required=True)
+    c.add_argument("--value", required=True, help="control column (count, sum and mean compared)")
+    c.add_argument("--key", action="append", required=True, help="key column(s) for counts per key")
+    c.add_argument("--schema", default=None, help="DDL of both tables; default: all columns as text")
+    c.add_argument("--no-rows", action="store_true", help="skip the exact row multiset check")
+    c.add_argument("--tol", type=float, default=1e-9)
+    c.add_argument("--out", default=None, help="also publish the report here")
     args = p.parse_args(argv)
 
     spark = build_session(args.master)
+    if args.command == "compare":
+        report = compare(spark, args.left, args.right, value=args.value, keys=args.key, schema=args.schema,
+                         compare_rows=not args.no_rows, tol=args.tol)
+        if args.out:
+            write_outputs({"report": with_fixed_decimals(report)}, args.out, staged=True)
+        rows = report.collect()  # one row per check
+        for r in rows:
+            print("\t".join(str(r[k]) for k in ("check", "left_value", "right_value", "differing", "status")))
+        return 0 if all(r["status"] == "PASS" for r in rows) else 1
     if args.command == "generate":
         done = generate(spark, args.rooms, args.requests, args.seed, args.out, fmt=args.format,
                         rows_per_partition=args.rows_per_partition)

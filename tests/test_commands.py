@@ -49,3 +49,20 @@ def test_metrics_command_reproduces_published_t3_values(spark, tmp_path, capsys)
     assert len(m[("speedup", "4")].split(".")[1]) == 9  # nine decimals
     sp = {r["units"]: float(r["speedup"]) for r in spark.read.option("header", True).csv(done["speedup"]).collect()}
     assert sp["4"] == pytest.approx(0.333656218, abs=1e-8)
+
+
+def test_compare_gate_passes_on_equal_tables_and_fails_on_a_change(spark, tmp_path, capsys):
+    left = tmp_path / "left.csv"
+    left.write_text("room_id,request_count,avg_attendees\nA,3,20.5\nB,2,11.0\n")
+    parts = tmp_path / "right"
+    parts.mkdir()
+    (parts / "part-00000.csv").write_text("room_id,request_count,avg_attendees\nB,2,11.0\n")
+    (parts / "part-00001.csv").write_text("room_id,request_count,avg_attendees\nA,3,20.5\n")
+    args = ["compare", "--left", str(left), "--value", "request_count", "--key", "room_id"]
+    assert main(args + ["--right", str(parts), "--out", str(tmp_path / "rep")]) == 0
+    assert all(line.endswith("PASS") for line in capsys.readouterr().out.strip().splitlines())
+    changed = tmp_path / "changed.csv"
+    changed.write_text("room_id,request_count,avg_attendees\nA,3,20.5\nB,3,11.0\n")
+    assert main(args + ["--right", str(changed)]) == 1
+    status = dict(line.split("\t")[0::4] for line in capsys.readouterr().out.strip().splitlines())
+    assert status["cardinality"] == "PASS" and status["control_sum"] == "FAIL" and status["same_rows"] == "FAIL"
