@@ -133,3 +133,31 @@ def test_quality_rules(spark, rows):
                                                   and r[5] > CAPS[r[1]])
     assert rep["requests.positive_attendees"] == sum(1 for r in data if r[5] is not None and r[5] <= 0)
     assert rep["requests.required_values"] == sum(1 for r in data if r[1] is None or r[5] is None)
+
+
+positions_st = st.lists(
+    st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 3)),  # group, score (ties likely)
+    min_size=0, max_size=60,
+)
+
+
+@SETTINGS
+@given(rows=positions_st, parts=st.integers(1, 7), grouped=st.booleans())
+def test_global_positions_equal_sorted_ranks(spark, rows, parts, grouped):
+    from pyspark.sql import functions as F
+
+    from bookdemand.operators.ranking import global_positions
+
+    data = [(i, g, s) for i, (g, s) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, g string, s int")
+    order = [F.col("s").desc(), F.col("id").asc()]
+    got = {r["id"]: r["pos"] for r in global_positions(
+        df, order, partition_cols=["g"] if grouped else (), out_col="pos", partitions=parts).collect()}
+    want = {}
+    groups = {}
+    for i, g, s in data:
+        groups.setdefault(g if grouped else 0, []).append((-s, i))
+    for members in groups.values():
+        for pos, (_, i) in enumerate(sorted(members), start=1):
+            want[i] = pos
+    assert got == want
