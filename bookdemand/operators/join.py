@@ -62,11 +62,21 @@ def _value_bytes(df: DataFrame) -> Column:
     return sum(parts[1:], parts[0]) if parts else F.lit(0)
 
 
-def profile_dimension(dim: DataFrame, key: str) -> DimensionProfile:
+def profile_dimension(dim: DataFrame, key: str, *, per_key: bool = True) -> DimensionProfile:
     """Rows, null keys, largest group per non-null key and value bytes.
 
     One job; the per-key count aggregates partially before its shuffle.
+    ``per_key=False`` measures only rows, null keys and bytes with a global
+    aggregate (one row per task reaches a single small exchange, no shuffle
+    of the keys); the largest group is then unknown (-1).
     """
+    if not per_key:
+        row = dim.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count(F.when(F.col(key).isNull(), F.lit(1))).alias("null_keys"),
+            F.coalesce(F.sum(_value_bytes(dim)), F.lit(0)).alias("bytes"),
+        ).first()
+        return DimensionProfile(int(row["rows"]), int(row["null_keys"]), -1, int(row["bytes"]))
     per_key = dim.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(_value_bytes(dim)).alias("b"))
     row = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
@@ -80,19 +90,24 @@ def profile_dimension(dim: DataFrame, key: str) -> DimensionProfile:
 _PROFILES: dict[tuple, DimensionProfile] = {}
 
 
-def cached_profile(dim: DataFrame, key: str) -> DimensionProfile:
+def cached_profile(dim: DataFrame, key: str, *, per_key: bool = True) -> DimensionProfile:
     """``profile_dimension`` measured once per immutable input.
 
     File-backed dimensions are keyed by their plan's semantic hash and the
     exact list of input files (a rewrite produces new file names); anything
-    else — in-memory frames, streams — is measured every time.
+    else — in-memory frames, streams — is measured every time.  A per-key
+    profile also answers a size-only request.
     """
     files = tuple(sorted(dim.inputFiles()))
     if not files:
-        return profile_dimension(dim, key)
-    memo_key = (id(dim.sparkSession), dim.semanticHash(), files, key)
+        return profile_dimension(dim, key, per_key=per_key)
+    base = (id(dim.sparkSession), dim.semanticHash(), files, key)
+    full = _PROFILES.get(base + (True,))
+    if full is not None:
+        return full
+    memo_key = base + (per_key,)
     if memo_key not in _PROFILES:
-        _PROFILES[memo_key] = profile_dimension(dim, key)
+        _PROFILES[memo_key] = profile_dimension(dim, key, per_key=per_key)
     return _PROFILES[memo_key]
 
 
@@ -217,7 +232,8 @@ def join_dimension(
     if validate:
         profile = check_many_to_one(slim, fact_key)
     elif strategy == "auto":
-        profile = cached_profile(slim, fact_key)
+        # only the size decides the strategy: no per-key shuffle of the dimension
+        profile = cached_profile(slim, fact_key, per_key=False)
     chosen = resolve_strategy(fact.sparkSession, strategy, profile, max_broadcast_bytes)
     if chosen == "salted":
         joined = salted_join(fact, slim, fact_key, salt_buckets=salt_buckets, hot_key_rows=hot_key_rows)

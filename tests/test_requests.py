@@ -169,3 +169,25 @@ def test_adapter_views_follow_a_refreshed_relation(spark):
     read_table(spark, sf, "orders", refresh=True)
     again = load_requests(spark, sf)
     assert again is not first and again.columns == first.columns
+
+
+def test_size_only_profile_agrees_and_needs_no_key_shuffle(spark):
+    from bookdemand.operators.join import profile_dimension
+    from bookdemand.plans.inspect import plan_text
+
+    dim = rooms(spark, [("A", "LAB-001", "Lab 1", 30, "X", True), ("A", "LAB-009", "Lab 9", 20, "X", True),
+                        (None, "LAB-002", "Lab 2", 20, "Y", False), ("B", "LAB-003", None, 40, "Y", True)])
+    full = profile_dimension(dim, "room_id")
+    size = profile_dimension(dim, "room_id", per_key=False)
+    assert (size.rows, size.null_keys, size.value_bytes) == (full.rows, full.null_keys, full.value_bytes)
+    assert full.max_rows_per_key == 2 and size.max_rows_per_key == -1
+    measured = dim.agg(F.count(F.lit(1)))
+    assert "hashpartitioning" not in plan_text(measured, "simple")
+
+
+def test_unvalidated_auto_join_decides_by_measured_size(spark):
+    rows = [base_row(1), base_row(2, room_id="B")]
+    small = join_rooms(req(spark, rows), rooms(spark), validate=False)
+    assert has_operator(small, "BroadcastHashJoin") and small.count() == 2
+    big = join_rooms(req(spark, rows), rooms(spark), validate=False, max_broadcast_bytes=1)
+    assert not has_operator(big, "BroadcastHashJoin") and big.count() == 2
