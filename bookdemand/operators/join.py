@@ -15,6 +15,7 @@ Strategy is chosen from measured facts, not guesses:
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -189,17 +190,22 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, *, salt_buckets: int
     return f.join(d, on=[key, "_salt"], how="inner").drop("_salt")
 
 
-_SLIM: dict[tuple, tuple[DataFrame, DataFrame]] = {}
+_SLIM: OrderedDict[tuple, tuple[DataFrame, DataFrame]] = OrderedDict()
+_SLIM_KEEP = 32  # most recently used dimensions kept
 
 
 def _slim(dim: DataFrame, dim_key: str, fact_key: str, columns: tuple[tuple[str, str], ...]) -> DataFrame:
     """The dimension's join key and added columns, built once per ``dim``
-    object (a plan, no data; DataFrames are immutable)."""
+    object (a plan, no data; DataFrames are immutable).  A small LRU, so a
+    long-running driver does not keep every dimension it ever joined."""
     memo_key = (id(dim), dim_key, fact_key, columns)
     hit = _SLIM.get(memo_key)
     if hit is None or hit[0] is not dim:
         hit = (dim, dim.select(F.col(dim_key).alias(fact_key), *[F.col(src).alias(dst) for src, dst in columns]))
         _SLIM[memo_key] = hit
+    _SLIM.move_to_end(memo_key)
+    while len(_SLIM) > _SLIM_KEEP:
+        _SLIM.popitem(last=False)
     return hit[1]
 
 
