@@ -143,8 +143,9 @@ def ranking_upsert_sink(
     """S-5: keep the top ``n`` per window across micro-batches.
 
     Per batch: the stored top-n of the windows this batch touches is merged
-    with the batch rows, duplicates by ``id_col`` are dropped (so a replayed
-    batch changes nothing), the top ``n`` per window is recomputed with the
+    with the batch rows (only the partitions inside the batch's window range
+    are read), duplicates by ``id_col`` are dropped (so a replayed batch
+    changes nothing), the top ``n`` per window is recomputed with the
     partial-limit window plan, and only those windows' partitions are
     replaced (dynamic partition overwrite).  State per window is ≤ n rows.
     """
@@ -152,11 +153,23 @@ def ranking_upsert_sink(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         checkpoint_dir(spark)
+        w = F.col(window_col)
+        # the batch's window range (one row) prunes the stored partitions
+        # statically, so a batch reads the windows it touches, not the history
+        span = batch.agg(F.min(w).alias("lo"), F.max(w).alias("hi"),
+                         F.count(F.when(w.isNull(), F.lit(1))).alias("nulls")).first()
+        if span["lo"] is None and span["nulls"] == 0:
+            return  # empty batch: nothing to merge
         touched = batch.select(window_col).distinct()
         if _exists(spark, path):
             stored = spark.read.parquet(path)
-            stored = stored.withColumn(window_col, F.col(window_col).cast(batch.schema[window_col].dataType))
-            merged = batch.unionByName(stored.drop("rank").join(touched, on=window_col, how="left_semi"))
+            stored = stored.withColumn(window_col, w.cast(batch.schema[window_col].dataType))
+            in_span = w.between(F.lit(span["lo"]), F.lit(span["hi"])) if span["lo"] is not None else F.lit(False)
+            stored = stored.filter(in_span | w.isNull() if span["nulls"] else in_span)
+            stored = stored.drop("rank")
+            # null-safe: a null window is a group of its own, as in the ranking itself
+            in_touched = stored[window_col].eqNullSafe(touched[window_col])
+            merged = batch.unionByName(stored.join(touched, on=in_touched, how="left_semi"))
         else:
             merged = batch
         ranked = top_n_per_group(merged.dropDuplicates([id_col]), [window_col], list(order_cols), n)
