@@ -45,6 +45,23 @@ def group_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return demand_by_room(load_requests(spark, sf_dir))
 
 
+@register("csv_roundtrip", f"""WITH {REQUESTS_CTE}
+SELECT room_id, count(request_id) AS request_count, avg(attendees) AS avg_attendees,
+       max(attendees) AS max_attendees
+FROM requests GROUP BY room_id""")
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1/SNK-2 then SRC-3/SRC-4/U-1: T2 published as a staged CSV
+    directory under the shared folder, read back as one table from its part
+    files with an explicit schema (FAILFAST, header order enforced)."""
+    from bookdemand.session import scratch_path
+    from bookdemand.sinks.files import publish_staged
+    from bookdemand.sources.csv import read_parts
+
+    t2 = demand_by_room(load_requests(spark, sf_dir), ordered=False)
+    path = publish_staged(t2, scratch_path(spark, "csv-roundtrip"), fmt="csv")
+    return read_parts(spark, path, t2.schema)
+
+
 @register("group_demand_lineitem", """SELECT l_suppkey, count(l_orderkey) AS request_count,
        avg(l_quantity) AS avg_attendees, max(l_quantity) AS max_attendees
 FROM lineitem GROUP BY l_suppkey ORDER BY l_suppkey""")
