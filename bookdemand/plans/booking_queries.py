@@ -62,6 +62,20 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parts(spark, path, t2.schema)
 
 
+@register("iso_text", f"""WITH {REQUESTS_CTE}
+SELECT request_id, strftime(booking_date, '%Y-%m-%d') AS booking_date, start_time, end_time,
+       strftime(created_at, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS created_at
+FROM requests""")
+def iso_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SF-17: every request's day and creation instant as the published ISO
+    text (``YYYY-MM-DD``, UTC instant with ``+00:00``), next to its times."""
+    from bookdemand.functions.dates import iso_date, iso_instant
+
+    r = load_requests(spark, sf_dir)
+    return r.select(S.REQUEST_ID, iso_date(S.BOOKING_DATE).alias(S.BOOKING_DATE), S.START_TIME, S.END_TIME,
+                    iso_instant(S.CREATED_AT).alias(S.CREATED_AT))
+
+
 @register("group_demand_lineitem", """SELECT l_suppkey, count(l_orderkey) AS request_count,
        avg(l_quantity) AS avg_attendees, max(l_quantity) AS max_attendees
 FROM lineitem GROUP BY l_suppkey ORDER BY l_suppkey""")
