@@ -62,18 +62,26 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parts(spark, path, t2.schema)
 
 
+# first year of the orders' date range: half-year 0 is its first half
+HALF_YEAR_BASE = 1992
+
+
 @register("iso_text", f"""WITH {REQUESTS_CTE}
 SELECT request_id, strftime(booking_date, '%Y-%m-%d') AS booking_date, start_time, end_time,
-       strftime(created_at, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS created_at
+       strftime(created_at, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS created_at,
+       CAST((year(booking_date) - {HALF_YEAR_BASE}) * 2 + CASE WHEN month(booking_date) > 6 THEN 1 ELSE 0 END
+            AS INTEGER) AS half_year
 FROM requests""")
 def iso_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SF-17: every request's day and creation instant as the published ISO
-    text (``YYYY-MM-DD``, UTC instant with ``+00:00``), next to its times."""
-    from bookdemand.functions.dates import iso_date, iso_instant
+    """SF-17 / SF-16: every request's day and creation instant as the
+    published ISO text (``YYYY-MM-DD``, UTC instant with ``+00:00``), next to
+    its times, and the academic half-year index of its day."""
+    from bookdemand.functions.dates import half_year_index, iso_date, iso_instant
 
     r = load_requests(spark, sf_dir)
     return r.select(S.REQUEST_ID, iso_date(S.BOOKING_DATE).alias(S.BOOKING_DATE), S.START_TIME, S.END_TIME,
-                    iso_instant(S.CREATED_AT).alias(S.CREATED_AT))
+                    iso_instant(S.CREATED_AT).alias(S.CREATED_AT),
+                    half_year_index(S.BOOKING_DATE, HALF_YEAR_BASE).alias("half_year"))
 
 
 @register("group_demand_lineitem", """SELECT l_suppkey, count(l_orderkey) AS request_count,
