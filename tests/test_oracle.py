@@ -21,11 +21,22 @@ def con():
     return duck(SF001)
 
 
+# Spark type name -> DuckDB type name of the same column
+DUCK_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+             "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    got = queries()[name](spark, SF001).toPandas()
-    assert len(got.columns) == len(set(got.columns))
+    df = queries()[name](spark, SF001)
     sql = oracle_sql().get(name)
+    if sql is not None:
+        duck_types = {c[0]: str(c[1]) for c in con.execute(sql).description}
+        for field in df.schema.fields:
+            spark_type = field.dataType.simpleString()
+            assert DUCK_TYPE.get(spark_type, spark_type.upper()) == duck_types.get(field.name), field.name
+    got = df.toPandas()
+    assert len(got.columns) == len(set(got.columns))
     if sql is None:
         assert len(got) >= 0
         return
