@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookdemand.operators.aggregates import pivot_wide
+from bookdemand.operators.aggregates import append_series, pivot_wide
 from bookdemand.operators.quantiles import exact_median
 from bookdemand.operators.scaling import METRICS, median_summary, metrics_long, speedup_versus, unit_scaling
 from bookdemand.plans.registry import register
-from bookdemand.sources.tables import measurements_from_events, read_table
+from bookdemand.sources.tables import measurements_from_events, measurements_from_lineitem, read_table
 
 # The event types of the events table, as pivot columns.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -57,6 +57,26 @@ def timing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("engine", "operator", "units", "runs", _r("median_seconds"))
 
 
+APPENDED_CTE = MEASUREMENTS_CTE[:-1] + """
+  UNION ALL
+  SELECT 'lineitem' AS engine, l_returnflag AS operator, CAST(1 << (l_linenumber % 3) AS INTEGER) AS units,
+         l_orderkey AS repetition, l_quantity AS seconds
+  FROM lineitem)"""
+
+
+@register("appended_summary", f"""WITH {APPENDED_CTE}, {SUMMARY_CTE}
+SELECT engine, operator, units, runs, round(median_seconds, {DIGITS}) AS median_seconds FROM s""")
+def appended_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U-2 then M-1: two timing series from two sources appended by column
+    name, then runs and exact median per (engine, operator, units)."""
+    runs = append_series(
+        measurements_from_events(read_table(spark, sf_dir, "events")),
+        measurements_from_lineitem(read_table(spark, sf_dir, "lineitem")),
+    )
+    s = median_summary(runs)
+    return s.select("engine", "operator", "units", "runs", _r("median_seconds"))
+
+
 @register("speedup_vs_baseline", f"""WITH {MEASUREMENTS_CTE}, {SUMMARY_CTE},
 b AS (SELECT engine, units, median_seconds AS base FROM s WHERE operator = 'click')
 SELECT s.engine, s.operator, s.units, s.runs, round(s.median_seconds, {DIGITS}) AS median_seconds,

@@ -128,3 +128,17 @@ def measurements_from_events(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("repetition"),
         F.col("value").alias("seconds"),
     )
+
+
+def measurements_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """Lines as a second timing series: the return flag is the operator, the
+    line number picks a parallelism of 1, 2 or 4 units, the quantity is the
+    time."""
+    return lineitem.select(
+        F.lit("lineitem").alias("engine"),
+        F.col("l_returnflag").alias("operator"),
+        F.element_at(F.array(F.lit(1), F.lit(2), F.lit(4)), (F.pmod(F.col("l_linenumber"), F.lit(3)) + 1).cast("int"))
+        .alias("units"),
+        F.col("l_orderkey").alias("repetition"),
+        F.col("l_quantity").alias("seconds"),
+    )
