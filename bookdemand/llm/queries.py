@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookdemand.llm import simhash
+from bookdemand.llm import bpe, simhash
 from bookdemand.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,19 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path())
+    return done.select("doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
