@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookdemand.llm import bpe, simhash
-from bookdemand.llm.base import table
+from bookdemand.llm import bpe, quality, simhash
+from bookdemand.llm.base import remainder_of_crc, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -32,6 +32,15 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    net = quality.fit(docs, labels, allowed=remainder_of_crc("doc_id", 5) != 0)
+    held_out = remainder_of_crc("doc_id", 5) == 0
+    return quality.score(docs.select("doc_id", "text"), net).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
