@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookdemand.llm import bpe, mixing, pii, quality, simhash
-from bookdemand.llm.base import remainder_of_crc, table
+from bookdemand.llm import bpe, mixing, pii, quality, simhash, warc
+from bookdemand.llm.base import remainder_of_crc, stored, table
+from bookdemand.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -19,6 +20,33 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    captures = warc.assemble(warc.read_archives(spark, path, keep_payload=False).drop("payload", "http_head"))
+    flat = stored(captures.select(
+        "record_id", "copies", F.col("metadata.fields")["page_id"].cast("long").alias("page_id"),
+        F.coalesce("response.payload_bytes", F.col("response.fields")["content-length"].cast("long")).alias("payload_bytes"),
+        F.coalesce("response.payload_sha1", F.substring_index("response.header_digest", ":", -1)).alias("payload_digest"),
+        F.col("response.warc_type").alias("record_type"), F.col("response.refers_to").alias("answer_id")), "captures")
+    answers = flat.where("record_type = 'response'").select(F.col("record_id").alias("answer_id"), F.col("page_id").alias("refers_to"))
+    each = flat.join(answers, "answer_id", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return each.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE_SQL["op1_warc"] = """
+WITH rows AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), roles AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM rows
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < top THEN top END AS refers_to
+FROM roles"""
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
