@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookdemand.llm import bpe, mixing, pii, quality, simhash, warc
+from bookdemand.llm import bpe, mixing, near_embed, pii, quality, simhash, topk, warc
 from bookdemand.llm.base import remainder_of_crc, stored, table
 from bookdemand.session import scratch_path
 
@@ -85,3 +85,45 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("draw")
+
+
+@query
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embed.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE_SQL["op7_embedding_dedup"] = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), smallest AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT s.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, s.component_id, s.vec_id = s.component_id AS kept
+FROM smallest s LEFT JOIN degree d ON s.vec_id = d.a"""
+
+
+@query
+def op9_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = topk.as_integers(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(rows.where("vec_id % 50 = 0"), rows)
+
+
+ORACLE_SQL["op9_maxscore"] = """
+WITH rows AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.v, r.v)::BIGINT AS score
+  FROM rows q JOIN rows r ON q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
