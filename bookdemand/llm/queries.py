@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookdemand.llm import bpe, mixing, near_embed, pii, quality, simhash, topk, warc
+from bookdemand.llm import bpe, mixing, near_embed, pii, quality, simhash, topk, toxicity, warc
 from bookdemand.llm.base import remainder_of_crc, stored, table
 from bookdemand.session import scratch_path
 
@@ -127,3 +127,12 @@ WITH rows AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    grammar = toxicity.fit(docs, labels, allowed=remainder_of_crc("doc_id", 3) != 1)
+    held_out = remainder_of_crc("doc_id", 3) == 1
+    return toxicity.score(docs.select("doc_id", "text"), grammar).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
