@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookdemand.llm import bpe, mixing, near_embed, pii, quality, simhash, topk, toxicity, warc
+from bookdemand.llm import bpe, html_crf, mixing, near_embed, pii, quality, simhash, topk, toxicity, warc
 from bookdemand.llm.base import remainder_of_crc, stored, table
 from bookdemand.session import scratch_path
 
@@ -110,6 +110,11 @@ SELECT s.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, s.component_id, s.vec_id =
 FROM smallest s LEFT JOIN degree d ON s.vec_id = d.a"""
 
 
+@query
+def op8_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extract(table(spark, sf_dir, "pages"), html_crf.default_field())
+
+
 @query
 def op9_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = topk.as_integers(table(spark, sf_dir, "embeddings"))
