@@ -29,7 +29,9 @@ KEEPS_P = frozenset("html head body title option select button textarea".split()
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LISTS = frozenset("ul ol menu dl table select tbody thead tfoot".split())
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"<]*+"|'[^'<]*+'|["'])*+)>""", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+VALUE_OR_END = re.compile(r"=\s*([\"'])|>")
+DEEPEST = 512  # elements open at once; deeper ones take the place of the last
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 NAME = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -44,9 +46,20 @@ class Block:
     linked: int  # characters inside links
 
 
+def tag_end(page: str, at: int) -> int | None:
+    """Where the tag that is open at ``at`` ends; a > in a quoted value does not end it."""
+    while m := VALUE_OR_END.search(page, at):
+        if not m[1]:
+            return m.end()
+        close = page.find(m[1], m.end())
+        at = close + 1 if close >= 0 else m.end()
+    return None
+
+
 def blocks(page: str | None) -> list[Block]:
     """The page's leaf blocks in order: character references decoded, runs of white space
-    one space, trimmed, empty ones left out.  Scripts, styles, comments and markup go."""
+    one space, trimmed, empty ones left out.  Scripts, styles, comments and markup go.
+    A page that ends inside a tag ends before it."""
     page = page or ""
     out: list[Block] = []
     stack: list[tuple[str, frozenset[str]]] = []
@@ -77,11 +90,16 @@ def blocks(page: str | None) -> list[Block]:
         at = m.end()
         if m[2] is None:
             continue
-        tag, closing = m[2].lower(), bool(m[1])
+        tag, closing, inside = m[2].lower(), bool(m[1]), at
+        end = tag_end(page, at)
+        if end is None:
+            break  # the page ends inside a tag
+        at = end
+        attributes = page[inside:end - 1]
         if tag in HIDDEN:
-            if not closing and not m[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+            if not closing and not attributes.endswith("/"):
+                last = re.compile(rf"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
+                at = last.end() if last else len(page)
             continue
         if tag == "a":
             in_link = not closing
@@ -108,14 +126,16 @@ def blocks(page: str | None) -> list[Block]:
         if tag == "hr":
             continue
         names = stack[-1][1] if stack else frozenset()
-        if m[3]:
+        if attributes:
             found = set()
-            for key, value in ATTRIBUTE.findall(m[3]):
+            for key, value in ATTRIBUTE.findall(attributes):
                 if key.lower() in ("hidden", "aria-hidden"):
                     found |= {"hidden"} if value.strip("\"'").lower() != "false" else set()
                 else:
                     found.update(NAME.findall(CAMEL.sub("-", value).lower()))
             names = names | found if found else names
+        if len(stack) >= DEEPEST:
+            stack.pop()
         stack.append((tag, names))
     flush()
     return out
@@ -201,28 +221,36 @@ def page_features(found: list[Block]) -> list[list[str]]:
     return [block_features(b, k / len(found)) for k, b in enumerate(found)]
 
 
-def train(pages: list[tuple[list[Block], list[int]]], epochs: int = 12, rate: float = 0.3, decay: float = 1e-4, seed: int = 3) -> Field:
-    """Stochastic gradient steps on the log-likelihood of labelled block sequences."""
+def train(pages: list[tuple[list[Block], list[int]]], epochs: int = 6, rate: float = 0.4, decay: float = 1e-4, seed: int = 3) -> Field:
+    """Steps on the log-likelihood of labelled block sequences, each weight's step falling
+    with the squares of its gradients so far (AdaGrad)."""
     crf, rng = Field(), random.Random(seed)
     rows = [(page_features(b), y) for b, y in pages if b]
-    for epoch in range(epochs):
+    spent: dict = {}
+
+    def step(key, gradient: float) -> float:
+        spent[key] = spent.get(key, 1.0) + gradient * gradient
+        return rate * gradient / math.sqrt(spent[key])
+
+    for _ in range(epochs):
         rng.shuffle(rows)
-        step = rate / (1 + epoch / 2)
         for features, labels in rows:
             on, pairs = crf.expected(crf.unary(features))
+            gradients: dict[str, float] = {}
             for row, p, y in zip(features, on, labels):
-                move = step * (y - p) / math.sqrt(len(row))
-                if abs(move) > 1e-5:
+                if abs(y - p) > 1e-5:
                     for f in row:
-                        old = crf.weights.get(f, 0.0)
-                        crf.weights[f] = old + move - step * decay * old
-            crf.start += step * (labels[0] - on[0])
+                        gradients[f] = gradients.get(f, 0.0) + y - p
+            for f, g in gradients.items():
+                old = crf.weights.get(f, 0.0)
+                crf.weights[f] = old + step(f, g - decay * old)
+            crf.start += step("start", labels[0] - on[0])
             seen = [[0, 0], [0, 0]]
             for a, b in zip(labels, labels[1:]):
                 seen[a][b] += 1
             for a in (0, 1):
                 for b in (0, 1):
-                    crf.pair[a][b] += step * (seen[a][b] - pairs[a][b]) / math.sqrt(len(labels))
+                    crf.pair[a][b] += step((a, b), seen[a][b] - pairs[a][b])
     return crf
 
 
@@ -335,7 +363,7 @@ def labelled_page(seed: int) -> tuple[list[Block], list[int]]:
     return found, labels
 
 
-def default_field(pages: int = 600, seed: int = 1) -> Field:
+def default_field(pages: int = 1500, seed: int = 1) -> Field:
     """A field trained on ``pages`` labelled pages of common layouts."""
     return train([labelled_page(1000 * seed + k) for k in range(pages)])
 
