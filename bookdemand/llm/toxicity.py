@@ -35,7 +35,7 @@ SEED_WEIGHT = 2.0
 
 CLAUSE_END = re.compile(r"[.!?;:\n]")
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[\"“”«»]")
-PREFIXES = (4, 5, 6)
+PREFIXES = tuple(range(3, 10))
 WINDOW = 4  # words over which a negation, a report or a target reaches
 
 
@@ -166,7 +166,7 @@ def cover(rows: list[tuple[str, int]], support: int, precision: float, needed: i
         good = {f: at for f, at in good.items() if gains[f] >= support and not f[1].startswith(best[1]) and not best[1].startswith(f[1])}
 
 
-def learn(rows: list[tuple[str, int]], support: int = 4, precision: float = 0.8) -> Grammar:
+def learn(rows: list[tuple[str, int]], support: int = 4, precision: float = 0.9) -> Grammar:
     """Insult words and stems: those in at least ``support`` texts, of which a share of at
     least ``precision`` is toxic; the weight grows with the odds.  Then the curve, by
     Newton's method on the log loss.  Without texts of both kinds, only the fixed lists."""
@@ -185,8 +185,8 @@ def learn(rows: list[tuple[str, int]], support: int = 4, precision: float = 0.8)
     beta = np.array([-3.0, 1.0, 0.5])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        gradient = x.T @ (p - target) + 1.0 * beta * [0, 1, 1]
-        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag([1e-3, 1.0, 1.0])
+        gradient = x.T @ (p - target) + 0.2 * beta * [0, 1, 1]
+        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag([1e-3, 0.2, 0.2])
         move = np.linalg.solve(curve, gradient)
         beta = beta - np.clip(move, -1, 1)
         if np.abs(move).max() < 1e-6:
