@@ -1,6 +1,6 @@
 """Command line for the flows around the output job (``bookdemand.jobs``).
 
-    python -m bookdemand.commands generate --rooms 40 --requests 500000 --seed 20260804 --out DIR
+    python -m bookdemand.commands generate --rooms 40 --requests 500000 --seed 7 --out DIR
     python -m bookdemand.commands metrics --timings raw.csv --out DIR --baseline engine=pandas
     python -m bookdemand.commands compare --left A --right B --value request_count --key room_id
 
@@ -27,7 +27,7 @@ from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, Str
 from bookdemand import schemas as S
 from bookdemand.functions.dates import iso_date, iso_instant
 from bookdemand.operators.equivalence import equivalence_report
-from bookdemand.operators.scaling import median_summary, metrics_long, speedup_versus, unit_scaling
+from bookdemand.operators.scaling import median_summary, metrics_long, require_ok, speedup_versus, unit_scaling
 from bookdemand.session import build_session
 from bookdemand.sinks.files import publish_staged, with_fixed_decimals, write_outputs
 from bookdemand.sources.csv import read_csv_strict
@@ -82,13 +82,16 @@ def metrics(spark, timings: str, out: str, baseline: Mapping[str, str] | None =
     """Summary, speedups and long metrics from a raw timings CSV."""
     raw = read_csv_strict(spark, timings, TIMINGS_SCHEMA)
     summary = median_summary(raw, ordered=True)
+    scaled = unit_scaling(summary)
+    require_ok(scaled)
     outputs = {
         "summary": summary,
-        "metrics": metrics_long(unit_scaling(summary)).orderBy("engine", "operator", "units", "metric"),
+        "metrics": metrics_long(scaled).drop("status").orderBy("engine", "operator", "units", "metric"),
     }
     if baseline:
-        outputs["speedup"] = speedup_versus(summary, dict(baseline), ["operator"]) \
-            .orderBy("engine", "operator", "units")
+        speedups = speedup_versus(summary, dict(baseline), ["operator"])
+        require_ok(speedups)
+        outputs["speedup"] = speedups.drop("status").orderBy("engine", "operator", "units")
     return write_outputs({k: with_fixed_decimals(v) for k, v in outputs.items()}, out, staged=True)
 
 

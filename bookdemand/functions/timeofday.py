@@ -13,13 +13,19 @@ from pyspark.sql import functions as F
 from bookdemand.functions._col import as_col, ident
 
 
-def _seconds_sql(t: str) -> str:
+def _valid_sql(t: str) -> str:
+    """Eight characters, digits where digits belong, hour below 24, the rest below 60."""
+    return (f"translate({t}, '0123456789', '##########') = '##:##:##' AND substring({t}, 1, 2) <= '23' "
+            f"AND substring({t}, 4, 2) <= '59' AND substring({t}, 7, 2) <= '59'")
+
+
+def _seconds_sql(t: str, otherwise: str | None = None) -> str:
     return (
         f"CASE WHEN {t} IS NULL THEN CAST(NULL AS INT) "
-        f"WHEN length({t}) = 8 AND substring({t}, 3, 1) = ':' AND substring({t}, 6, 1) = ':' "
+        f"WHEN {_valid_sql(t)} "
         f"THEN CAST(substring({t}, 1, 2) AS INT) * 3600 + CAST(substring({t}, 4, 2) AS INT) * 60 "
         f"+ CAST(substring({t}, 7, 2) AS INT) "
-        f"ELSE raise_error(concat('not an HH:MM:SS time of day: ', {t})) END"
+        f"ELSE {otherwise or f"raise_error(concat('not an HH:MM:SS time of day: ', {t}))"} END"
     )
 
 
@@ -27,13 +33,16 @@ def seconds_of_day(c: str | Column) -> Column:
     """``'HH:MM:SS'`` → seconds after midnight (int); null stays null.
 
     Fixed-width substrings and int casts (cheap, codegen'd); a text that is
-    not 8 characters with ':' at 3 and 6 raises, and so does a non-digit
-    field (ANSI cast).  A column name is compiled as one SQL expression.
+    not two digits each for an hour below 24, a minute and a second below 60
+    raises.  A column name is compiled as one SQL expression.
     """
     if isinstance(c, str):
         return F.expr(_seconds_sql(ident(c)))
     t = c
-    valid = (F.length(t) == 8) & (F.substring(t, 3, 1) == ":") & (F.substring(t, 6, 1) == ":")
+    valid = (
+        (F.translate(t, "0123456789", "##########") == "##:##:##")
+        & (F.substring(t, 1, 2) <= "23") & (F.substring(t, 4, 2) <= "59") & (F.substring(t, 7, 2) <= "59")
+    )
     value = (
         F.substring(t, 1, 2).cast("int") * 3600
         + F.substring(t, 4, 2).cast("int") * 60
@@ -44,6 +53,19 @@ def seconds_of_day(c: str | Column) -> Column:
     )
 
 
+def try_seconds_of_day(c: str) -> Column:
+    """``seconds_of_day`` of column ``c`` with null instead of an error for a
+    text that is no time of day (for rules that count such rows)."""
+    return F.expr(_seconds_sql(ident(c), otherwise="CAST(NULL AS INT)"))
+
+
+def seconds_by_pattern(c: str | Column, pattern: str = "HH:mm:ss") -> Column:
+    """SF-2: a time of day by a date-time pattern (``H:mm``, ``HHmmss``, …) →
+    seconds after midnight; a text that does not fit the pattern raises."""
+    at = F.to_timestamp(as_col(c), pattern)
+    return (F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)).cast("int")
+
+
 def minutes_between_sql(start: str, end: str) -> str:
     """SQL text of :func:`minutes_between` over two column names."""
     return f"CAST(floor(({_seconds_sql(ident(end))} - {_seconds_sql(ident(start))}) / 60) AS BIGINT)"

@@ -39,16 +39,29 @@ def pivot_wide(
     df: DataFrame,
     index: Sequence[str],
     pivot_col: str,
-    values: Sequence[str],
+    values: Sequence[str] | None,
     value: Column | str,
+    *,
+    max_columns: int = 1000,
 ) -> DataFrame:
-    """A-8: one row per ``index``, one column per listed pivot value.
+    """A-8: one row per ``index``, one column per pivot value.
 
-    The pivot values are given, not discovered, so the output schema is fixed
-    and no extra distinct job runs; ``first`` fills each cell (one value per
-    cell is the caller's contract).
+    ``values`` None takes them from the data (one distinct job, sorted; more
+    than ``max_columns`` is an error).  Given values fix the output schema; a
+    row with another non-null value then fails the query instead of
+    vanishing.  ``first`` fills each cell (one value per cell is the caller's
+    contract).
     """
     val = F.col(value) if isinstance(value, str) else value
+    if values is None:
+        found = df.select(pivot_col).where(F.col(pivot_col).isNotNull()).distinct().limit(max_columns + 1).collect()
+        if len(found) > max_columns:
+            raise ValueError(f"'{pivot_col}' has more than {max_columns} values; a pivot needs fewer")
+        values = sorted(r[0] for r in found)
+    else:
+        listed = F.col(pivot_col).isNull() | F.col(pivot_col).isin(list(values))
+        unlisted = F.concat(F.lit(f"'{pivot_col}' has a value without a column: "), F.col(pivot_col).cast("string"))
+        df = df.withColumn(pivot_col, F.when(listed, F.col(pivot_col)).otherwise(F.raise_error(unlisted)))
     return df.groupBy(*index).pivot(pivot_col, list(values)).agg(F.first(val))
 
 

@@ -5,8 +5,11 @@ All four are lazy: they declare a plan and run nothing.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from bookdemand import schemas as S
 from bookdemand.functions.dates import days_between, is_weekend, utc_day
@@ -37,13 +40,25 @@ def _sql_text(value: str) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _day_of(bound: str | date) -> date:
+    """A window bound as a date; ``2024-7-1`` is read as ``2024-07-01``, and a
+    text that names no day is an error."""
+    if isinstance(bound, date):
+        return date(bound.year, bound.month, bound.day)
+    try:
+        year, month, day = (int(part) for part in str(bound).strip().split("-"))
+        return date(year, month, day)
+    except ValueError:
+        raise ValueError(f"not a calendar day: {bound!r}") from None
+
+
 def filter_requests(
     requests: DataFrame,
     *,
     approved: str = S.APPROVED,
     min_attendees: int = S.MIN_ATTENDEES,
-    start: str = S.WINDOW_START,
-    end: str = S.WINDOW_END,
+    start: str | date = S.WINDOW_START,
+    end: str | date = S.WINDOW_END,
 ) -> DataFrame:
     """T1: approved requests with at least ``min_attendees`` booked on a day in
     ``[start, end]`` (both inclusive, date semantics), projected to 7 columns.
@@ -52,15 +67,16 @@ def filter_requests(
     it into the parquet scan (row-group skipping on date and status).
     """
     S.require_columns(requests, REQUEST_VIEW, "filter_requests")
+    first, last = _day_of(start), _day_of(end)
     condition = (
         f"{ident(S.STATUS)} = {_sql_text(approved)} AND {ident(S.ATTENDEES)} >= {int(min_attendees)}"
         f" AND CAST({ident(S.BOOKING_DATE)} AS DATE)"
-        f" BETWEEN DATE {_sql_text(start)} AND DATE {_sql_text(end)}"
+        f" BETWEEN DATE '{first:%Y-%m-%d}' AND DATE '{last:%Y-%m-%d}'"
     )
     if S.BOOKING_MONTH in requests.columns:
         # Landing zone partitioned by month: the implied month range prunes
         # whole directories before any file is listed or opened.
-        condition += f" AND {ident(S.BOOKING_MONTH)} BETWEEN {_sql_text(start[:7])} AND {_sql_text(end[:7])}"
+        condition += f" AND {ident(S.BOOKING_MONTH)} BETWEEN '{first:%Y-%m}' AND '{last:%Y-%m}'"
     # one SQL expression: a single round trip to the JVM to build the predicate
     return requests.filter(F.expr(condition)).select(*REQUEST_VIEW)
 
@@ -89,21 +105,24 @@ def demand_by_room(
     return out.orderBy(F.col(key).asc()) if ordered else out
 
 
-def priority_score_sql(approved: str = S.APPROVED) -> str:
-    """T4's score as one SQL expression over a joined request row."""
+def priority_score_sql(approved: str = S.APPROVED, *, created_is_text: bool = False) -> str:
+    """T4's score as one SQL expression over a joined request row.
+
+    A creation instant kept as text is read as an instant first, so that an
+    offset in it counts and the day is the UTC day (X3)."""
     a, cap, st = ident(S.ATTENDEES), ident(S.CAPACITY), ident(S.STATUS)
     day = f"CAST({ident(S.BOOKING_DATE)} AS DATE)"
     tiers = " ".join(
         f"WHEN CAST({a} AS BIGINT) * 100 >= CAST({cap} AS BIGINT) * {pct} THEN {pts}" for pct, pts in OCCUPANCY_TIERS
     )
-    approved_lit = approved.replace("'", "\\'")
+    created = f"CAST({ident(S.CREATED_AT)} AS TIMESTAMP)" if created_is_text else ident(S.CREATED_AT)
     return (
         f"CAST(CAST({a} AS BIGINT) * {minutes_between_sql(S.START_TIME, S.END_TIME)}"
         f" + CASE {tiers} ELSE 0 END"
-        f" + CASE WHEN datediff({day}, to_date({ident(S.CREATED_AT)})) <= {SHORT_LEAD_DAYS}"
+        f" + CASE WHEN datediff({day}, to_date({created})) <= {SHORT_LEAD_DAYS}"
         f" THEN {SHORT_LEAD_POINTS} ELSE 0 END"
         f" + CASE WHEN dayofweek({day}) IN (1, 7) THEN {WEEKEND_POINTS} ELSE 0 END"
-        f" + CASE WHEN {st} = '{approved_lit}' THEN {APPROVED_POINTS} ELSE 0 END AS BIGINT)"
+        f" + CASE WHEN {st} = {_sql_text(approved)} THEN {APPROVED_POINTS} ELSE 0 END AS BIGINT)"
     )
 
 
@@ -135,7 +154,8 @@ def priority_score(joined: DataFrame, *, approved: str = S.APPROVED) -> DataFram
         (S.ATTENDEES, S.CAPACITY, S.START_TIME, S.END_TIME, S.BOOKING_DATE, S.CREATED_AT, S.STATUS),
         "priority_score",
     )
-    return joined.withColumn(S.PRIORITY_SCORE, F.expr(priority_score_sql(approved)))
+    as_text = isinstance(joined.schema[S.CREATED_AT].dataType, StringType)
+    return joined.withColumn(S.PRIORITY_SCORE, F.expr(priority_score_sql(approved, created_is_text=as_text)))
 
 
 def top_demand(requests: DataFrame, n: int = S.TOP_N) -> DataFrame:

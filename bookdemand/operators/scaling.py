@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bookdemand.operators.quantiles import exact_median
@@ -23,21 +23,40 @@ def median_summary(measurements: DataFrame, series: Sequence[str] = SERIES, *, o
     return out.orderBy(*series) if ordered else out
 
 
+OK = "ok"
+
+
+def _status(reference: Column) -> Column:
+    return (
+        F.when(reference.isNull(), F.lit("no reference series"))
+        .when(~((reference > 0) & F.coalesce(F.col("median_seconds") > 0, F.lit(False))), F.lit("time not positive"))
+        .otherwise(F.lit(OK))
+    )
+
+
+def require_ok(metrics: DataFrame) -> None:
+    """Stop when a series has no reference or a time that is not positive."""
+    bad = metrics.filter(F.col("status") != OK).select("engine", "operator", "units", "status").distinct().limit(20).collect()
+    if bad:
+        raise ValueError("no metrics for: " + "; ".join(f"{r[0]}/{r[1]}/{r[2]} ({r[3]})" for r in bad))
+
+
 def speedup_versus(summary: DataFrame, baseline: dict[str, object], join_on: Sequence[str]) -> DataFrame:
     """M-2: ``T_baseline / T`` for every non-baseline series.
 
     ``baseline`` selects the reference series by column equality (for example
     ``{"engine": "pandas"}``); ``join_on`` names the columns both must share.
+    No series is dropped: one without a baseline, or with a time that is not
+    positive, keeps a null speedup and says why in ``status``.
     """
     is_base = None
     for col, val in baseline.items():
         cond = F.col(col) == F.lit(val)
         is_base = cond if is_base is None else is_base & cond
     base = summary.filter(is_base).select(*join_on, F.col("median_seconds").alias("_base"))
-    rest = summary.filter(~is_base)
-    positive = (F.col("_base") > 0) & (F.col("median_seconds") > 0)
-    return rest.join(base, on=list(join_on), how="inner").withColumn(
-        "speedup", F.when(positive, F.col("_base") / F.col("median_seconds"))
+    rest = summary.filter(~F.coalesce(is_base, F.lit(False)))
+    return rest.join(base, on=list(join_on), how="left").withColumn("status", _status(F.col("_base"))).withColumn(
+        "speedup", F.when(F.col("status") == OK, F.col("_base") / F.col("median_seconds"))
     ).drop("_base")
 
 
@@ -49,12 +68,16 @@ def unit_scaling(summary: DataFrame, group: Sequence[str] = ("engine", "operator
     fraction at the largest N of the group: Amdahl 1/(f + (1-f)/N), Gustafson
     N - f(N-1) (only for f in [0, 1]), limit 1/f; ``f_in_range`` flags
     whether f_ref is a fraction at all (DQ-17 as a column).
+
+    The one-unit time comes from a window over the group, so the summary is
+    planned once; a group without one, or a time that is not positive, keeps
+    its rows with null metrics and says why in ``status``.
     """
     g = list(group)
-    one = summary.filter(F.col("units") == 1).select(*g, F.col("median_seconds").alias("_t1"))
     n = F.col("units").cast("double")
-    s = summary.join(one, on=g, how="inner").withColumn(
-        "speedup", F.when((F.col("_t1") > 0) & (F.col("median_seconds") > 0), F.col("_t1") / F.col("median_seconds"))
+    one = F.max(F.when(F.col("units") == 1, F.col("median_seconds"))).over(Window.partitionBy(*g))
+    s = summary.withColumn("_t1", one).withColumn("status", _status(F.col("_t1"))).withColumn(
+        "speedup", F.when(F.col("status") == OK, F.col("_t1") / F.col("median_seconds"))
     )
     s = s.withColumn("efficiency", F.col("speedup") / n).withColumn("efficiency_pct", F.col("efficiency") * 100)
     s = s.withColumn("serial_fraction", F.when(F.col("units") > 1, (n / F.col("speedup") - 1) / (n - 1)))
@@ -88,10 +111,14 @@ METRICS = [
 
 
 def metrics_long(scaled: DataFrame, group: Sequence[str] = ("engine", "operator")) -> DataFrame:
-    """M-9: long format ``metric, <group>, units, value, unit``, nulls dropped."""
+    """M-9: long format ``metric, <group>, units, value, unit, status``.
+
+    A metric that is not defined for a sound series (the serial fraction at
+    one unit, say) has no row; a series that is not sound keeps all its rows,
+    with null values and its status."""
     pairs = ", ".join(f"'{name}', CAST({name} AS DOUBLE), '{unit}'" for name, unit in METRICS)
     long = scaled.select(
-        *group, "units",
+        *group, "units", "status",
         F.expr(f"stack({len(METRICS)}, {pairs}) AS (metric, value, unit)"),
     )
-    return long.filter(F.col("value").isNotNull())
+    return long.filter(F.col("value").isNotNull() | (F.col("status") != OK))
