@@ -44,8 +44,8 @@ def reference_scale(spark, reps: int) -> dict:
     from bookdemand.sinks.files import write_noop
     from bookdemand.sources.synthetic import synthetic_requests, synthetic_rooms
 
-    rooms = synthetic_rooms(spark.range(40), "id", seed=20260804)
-    requests = synthetic_requests(spark.range(500_000), "id", rooms, seed=20260804)
+    rooms = synthetic_rooms(spark.range(40), "id", seed=1009)
+    requests = synthetic_requests(spark.range(500_000), "id", rooms, seed=1009)
     rooms = rooms.drop("room_index").persist(StorageLevel.MEMORY_AND_DISK)
     requests = requests.persist(StorageLevel.MEMORY_AND_DISK)
     rooms.count(), requests.count()

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, DecimalType, MapType, StringType, StructType, VariantType
 
 from bookdemand import schemas as S
 from bookdemand.session import MEASURED_BROADCAST_LIMIT, checkpoint_dir
@@ -37,8 +37,6 @@ ROOM_VIEW = [
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash", "salted")
 # Per-row overhead of a broadcast hash relation on top of the value bytes.
 _ROW_OVERHEAD_BYTES = 32
-# Upper bound on hot keys whose list may be broadcast in the salted path.
-MAX_HOT_KEYS = 100_000
 
 
 @dataclass(frozen=True)
@@ -58,6 +56,12 @@ def _value_bytes(df: DataFrame) -> Column:
     for field in df.schema.fields:
         if isinstance(field.dataType, (StringType, BinaryType)):
             parts.append(F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)))
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType, VariantType)):
+            # as JSON text: digits take at least the bytes of the number they write,
+            # twice over for short ones in 8-byte slots
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(field.name)))) * 4, F.lit(0)))
+        elif isinstance(field.dataType, DecimalType):
+            parts.append(F.lit(24))
         else:
             parts.append(F.lit(8))
     return sum(parts[1:], parts[0]) if parts else F.lit(0)
@@ -88,28 +92,46 @@ def profile_dimension(dim: DataFrame, key: str, *, per_key: bool = True) -> Dime
     return DimensionProfile(int(row["rows"]), int(row["null_keys"]), int(row["max_n"]), int(row["bytes"]))
 
 
-_PROFILES: dict[tuple, DimensionProfile] = {}
+_PROFILES: OrderedDict[tuple, DimensionProfile] = OrderedDict()
+_PROFILES_KEEP = 64  # most recently measured dimensions kept
+
+
+def _file_states(spark: SparkSession, files: Sequence[str]) -> tuple:
+    """Name, length and modification time of each file, from the file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    states = []
+    for name in sorted(files):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        status = path.getFileSystem(conf).getFileStatus(path)
+        states.append((name, status.getLen(), status.getModificationTime()))
+    return tuple(states)
+
+
+def forget_profiles() -> None:
+    """Measure every dimension anew (for timings that should include it)."""
+    _PROFILES.clear()
 
 
 def cached_profile(dim: DataFrame, key: str, *, per_key: bool = True) -> DimensionProfile:
     """``profile_dimension`` measured once per immutable input.
 
-    File-backed dimensions are keyed by their plan's semantic hash and the
-    exact list of input files (a rewrite produces new file names); anything
-    else — in-memory frames, streams — is measured every time.  A per-key
-    profile also answers a size-only request.
+    File-backed dimensions of few files are keyed by their plan's semantic
+    hash and each input file's name, length and modification time, so a file
+    rewritten in place is measured again; anything else — in-memory frames,
+    streams, many files — is measured every time.  A per-key profile also
+    answers a size-only request.
     """
-    files = tuple(sorted(dim.inputFiles()))
-    if not files:
+    files = dim.inputFiles()
+    if not files or len(files) > 100:
         return profile_dimension(dim, key, per_key=per_key)
-    base = (id(dim.sparkSession), dim.semanticHash(), files, key)
-    full = _PROFILES.get(base + (True,))
-    if full is not None:
-        return full
-    memo_key = base + (per_key,)
-    if memo_key not in _PROFILES:
-        _PROFILES[memo_key] = profile_dimension(dim, key, per_key=per_key)
-    return _PROFILES[memo_key]
+    spark = dim.sparkSession
+    base = (spark.sparkContext.applicationId, dim.semanticHash(), _file_states(spark, files), key)
+    hit = _PROFILES.get(base + (True,)) or _PROFILES.get(base + (per_key,))
+    if hit is None:
+        hit = _PROFILES[base + (per_key,)] = profile_dimension(dim, key, per_key=per_key)
+        while len(_PROFILES) > _PROFILES_KEEP:
+            _PROFILES.popitem(last=False)
+    return hit
 
 
 def check_many_to_one(dim: DataFrame, key: str) -> DimensionProfile:
@@ -160,8 +182,9 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, *, salt_buckets: int
     """Inner equi-join that splits hot keys over ``salt_buckets`` sub-keys.
 
     Hot keys are found with a partially aggregated count; their number is at
-    most ``fact rows / hot_key_rows`` and is checked before the key list is
-    broadcast.  The salt is a hash of the whole fact row, so a retried task
+    most ``fact rows / hot_key_rows``.  Their list is broadcast when its
+    measured bytes fit the session's limit, and joined by key otherwise (the
+    salt then follows that join, and Spark splits its skewed partitions).  The salt is a hash of the whole fact row, so a retried task
     sends every row to the same sub-key again.
     """
     checkpoint_dir(fact.sparkSession)
@@ -169,12 +192,12 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, *, salt_buckets: int
     # the shared checkpoint folder so the join below does not recompute it
     hot = fact.groupBy(key).count().filter(F.col("count") >= F.lit(hot_key_rows)).select(key)
     hot = hot.checkpoint(eager=True)
-    n_hot = hot.count()
-    if n_hot == 0 or n_hot > MAX_HOT_KEYS:
-        # No hot key, or so many that load is already spread: a plain shuffle
-        # join (AQE skew-join still watches partition sizes).
+    size = profile_dimension(hot, key, per_key=False)
+    if size.rows == 0:
         return fact.join(dim.hint("merge"), on=key, how="inner")
-    hot_flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    hot_flag = hot.withColumn("_hot", F.lit(True))
+    fits = size.broadcast_bytes <= broadcast_limit(fact.sparkSession)
+    hot_flag = F.broadcast(hot_flag) if fits else hot_flag.hint("merge")
     f = fact.join(hot_flag, on=key, how="left").withColumn(
         "_salt",
         F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salt_buckets)))

@@ -1,6 +1,7 @@
 """Data-quality rules as one report DataFrame (DQ-2 … DQ-17).
 
-Each rule yields one row ``rule, checked, violations``.  Row-level rules on
+Each rule yields one row ``rule, checked, violations, sample``; the sample is
+the smallest key (as text) that breaks the rule, null if none does.  Row-level rules on
 a table share one aggregate pass; uniqueness, referential and cross-table
 rules aggregate *before* they shuffle or join (per key, per key-and-value),
 so a key holding a third of the rows costs one row per map task, and the
@@ -17,20 +18,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from bookdemand import schemas as S
-from bookdemand.functions.timeofday import seconds_of_day
+from bookdemand.functions.timeofday import try_seconds_of_day
 
-REPORT_COLUMNS = ["rule", "checked", "violations"]
+REPORT_COLUMNS = ["rule", "checked", "violations", "sample"]
 
 
-def _row(df: DataFrame, rule: str, checked: Column, violations: Column) -> DataFrame:
+def _row(df: DataFrame, rule: str, checked: Column, violations: Column, sample: Column | None = None) -> DataFrame:
+    """``sample``: the smallest offending key, an aggregate."""
     return df.agg(
         F.coalesce(checked, F.lit(0)).cast("long").alias("checked"),
         F.coalesce(violations, F.lit(0)).cast("long").alias("violations"),
-    ).select(F.lit(rule).alias("rule"), "checked", "violations")
+        (F.lit(None) if sample is None else sample).cast("string").alias("sample"),
+    ).select(F.lit(rule).alias("rule"), "checked", "violations", "sample")
 
 
-def _literal(spark: SparkSession, rule: str, checked: int, violations: int) -> DataFrame:
-    return spark.createDataFrame([(rule, checked, violations)], "rule string, checked long, violations long")
+def _literal(spark: SparkSession, rule: str, checked: int, violations: int, sample: str | None = None) -> DataFrame:
+    return spark.createDataFrame([(rule, checked, violations, sample)],
+                                 "rule string, checked long, violations long, sample string")
 
 
 def blank(df: DataFrame, column: str) -> Column:
@@ -44,20 +48,8 @@ def blank(df: DataFrame, column: str) -> Column:
 def schema_rule(df: DataFrame, expected: Sequence[str], rule: str) -> DataFrame:
     """DQ-2: columns present and in order (metadata only, no data read)."""
     actual = list(df.columns)
-    wrong = sum(1 for i, name in enumerate(expected) if i >= len(actual) or actual[i] != name)
-    wrong += max(0, len(actual) - len(expected))
-    return _literal(df.sparkSession, rule, len(expected), wrong)
-
-
-def required_values_rule(df: DataFrame, columns: Sequence[str], rule: str) -> DataFrame:
-    """DQ-3: rows with a null or blank value in any required column."""
-    any_blank = reduce(lambda a, b: a | b, [blank(df, c) for c in columns])
-    return _row(df, rule, F.count(F.lit(1)), F.sum(F.when(any_blank, 1)))
-
-
-def predicate_rule(df: DataFrame, violation: Column, rule: str) -> DataFrame:
-    """DQ-6, DQ-10, DQ-11: rows where ``violation`` holds."""
-    return _row(df, rule, F.count(F.lit(1)), F.sum(F.when(violation, 1)))
+    off = [name for i, name in enumerate(expected) if i >= len(actual) or actual[i] != name] + actual[len(expected):]
+    return _literal(df.sparkSession, rule, len(expected), len(off), min(off, default=None))
 
 
 def row_count_rule(df: DataFrame, expected: int, rule: str) -> DataFrame:
@@ -69,7 +61,8 @@ def row_count_rule(df: DataFrame, expected: int, rule: str) -> DataFrame:
 def unique_rule(df: DataFrame, keys: Sequence[str], rule: str) -> DataFrame:
     """DQ-4, DQ-5, DQ-8, DQ-15: rows whose key occurs more than once."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return _row(per_key, rule, F.sum("_n"), F.sum(F.when(F.col("_n") > 1, F.col("_n"))))
+    repeated = F.col("_n") > 1
+    return _row(per_key, rule, F.sum("_n"), F.sum(F.when(repeated, F.col("_n"))), F.min(F.when(repeated, F.col(keys[0]))))
 
 
 def referential_rule(fact: DataFrame, dim: DataFrame, key: str, rule: str, dim_key: str | None = None) -> DataFrame:
@@ -81,17 +74,8 @@ def referential_rule(fact: DataFrame, dim: DataFrame, key: str, rule: str, dim_k
     fact_keys = fact.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     dim_keys = dim.groupBy(F.col(dk).alias("_k")).agg(F.lit(1).alias("_hit"))
     joined = fact_keys.join(dim_keys, on="_k", how="left")
-    return _row(joined, rule, F.sum("_n"), F.sum(F.when(F.col("_hit").isNull(), F.col("_n"))))
-
-
-def bound_rule(fact: DataFrame, dim: DataFrame, key: str, value: str, bound: str, rule: str) -> DataFrame:
-    """DQ-12 / J-4: fact rows whose ``value`` exceeds the matching dimension
-    row's ``bound``.  The fact side is first reduced to (key, value) counts, so
-    the join carries at most one row per distinct pair."""
-    pairs = fact.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
-    bounds = dim.groupBy(key).agg(F.min(bound).alias("_bound"))
-    joined = pairs.join(bounds, on=key, how="inner")
-    return _row(joined, rule, F.sum("_n"), F.sum(F.when(F.col(value) > F.col("_bound"), F.col("_n"))))
+    lost = F.col("_hit").isNull()
+    return _row(joined, rule, F.sum("_n"), F.sum(F.when(lost, F.col("_n"))), F.min(F.when(lost, F.col("_k"))))
 
 
 def missing_keys(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -109,10 +93,11 @@ def assert_fraction(df: DataFrame, column: str) -> None:
 
 
 def _stacked(agg: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """Turn one aggregate row into one report row per (rule, checked, violations)."""
-    pairs = ", ".join(f"'{rule}', CAST(coalesce({c}, 0) AS BIGINT), CAST(coalesce({v}, 0) AS BIGINT)"
+    """Turn one aggregate row into one report row per (rule, checked, violations);
+    the sample of violations ``v`` is the column ``v_key``."""
+    pairs = ", ".join(f"'{rule}', CAST(coalesce({c}, 0) AS BIGINT), CAST(coalesce({v}, 0) AS BIGINT), CAST({v}_key AS STRING)"
                       for rule, c, v in rules)
-    return agg.select(F.expr(f"stack({len(rules)}, {pairs}) AS (rule, checked, violations)"))
+    return agg.select(F.expr(f"stack({len(rules)}, {pairs}) AS (rule, checked, violations, sample)"))
 
 
 def booking_quality_report(
@@ -135,7 +120,8 @@ def booking_quality_report(
     rm_cols = list(room_columns or rooms.columns)
     any_blank_rq = reduce(lambda a, b: a | b, [blank(requests, c) for c in rq_cols])
     any_blank_rm = reduce(lambda a, b: a | b, [blank(rooms, c) for c in rm_cols])
-    bad_time = ~(seconds_of_day(S.END_TIME) > seconds_of_day(S.START_TIME))
+    # a blank or malformed time of day is a violation, not an error of the report
+    bad_time = ~F.coalesce(try_seconds_of_day(S.END_TIME) > try_seconds_of_day(S.START_TIME), F.lit(False))
 
     per_room = rooms.groupBy(S.ROOM_ID).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -147,6 +133,8 @@ def booking_quality_report(
         per_room.agg(
             F.sum("_n").alias("n"), F.sum("_blank").alias("blank"), F.sum("_nonpos").alias("nonpos"),
             F.sum(F.when(F.col("_n") > 1, F.col("_n"))).alias("dup"),
+            *[F.min(F.when(bad, F.col(S.ROOM_ID))).alias(f"{v}_key")
+              for v, bad in (("blank", F.col("_blank") > 0), ("nonpos", F.col("_nonpos") > 0), ("dup", F.col("_n") > 1))],
         ),
         [("rooms.required_values", "n", "blank"), ("rooms.unique_id", "n", "dup"),
          ("rooms.positive_capacity", "n", "nonpos")],
@@ -155,6 +143,9 @@ def booking_quality_report(
         F.count(F.lit(1)).alias("_n"),
         F.count(F.when(any_blank_rq, 1)).alias("_blank"),
         F.count(F.when(bad_time, 1)).alias("_badtime"),
+        F.min(S.REQUEST_ID).alias("_key"),
+        F.min(F.when(any_blank_rq, F.col(S.REQUEST_ID))).alias("_blank_key"),
+        F.min(F.when(bad_time, F.col(S.REQUEST_ID))).alias("_badtime_key"),
     )
     bounds = per_room.select(S.ROOM_ID, "_bound", F.lit(1).alias("_hit"))
     joined = pairs.join(bounds, on=S.ROOM_ID, how="left")
@@ -166,6 +157,10 @@ def booking_quality_report(
             F.sum(F.when(~hit, F.col("_n"))).alias("orphan"),
             F.sum(F.when(hit, F.col("_n"))).alias("matched"),
             F.sum(F.when(hit & (F.col(S.ATTENDEES) > F.col("_bound")), F.col("_n"))).alias("over"),
+            F.min("_blank_key").alias("blank_key"), F.min("_badtime_key").alias("badtime_key"),
+            F.min(F.when(~(F.col(S.ATTENDEES) > 0), F.col("_key"))).alias("nonpos_key"),
+            F.min(F.when(~hit, F.col("_key"))).alias("orphan_key"),
+            F.min(F.when(hit & (F.col(S.ATTENDEES) > F.col("_bound")), F.col("_key"))).alias("over_key"),
         ),
         [("requests.required_values", "n", "blank"), ("requests.room_exists", "n", "orphan"),
          ("requests.end_after_start", "n", "badtime"), ("requests.positive_attendees", "n", "nonpos"),
@@ -188,6 +183,7 @@ def booking_quality_report(
 
 def raise_on_violations(report: DataFrame) -> None:
     """Stop at any failed rule (the report is one row per rule: small)."""
-    failed = report.filter(F.col("violations") > 0).select("rule", "violations").collect()
+    failed = report.filter(F.col("violations") > 0).collect()
     if failed:
-        raise ValueError("data-quality rules failed: " + ", ".join(f"{r['rule']}={r['violations']}" for r in failed))
+        raise ValueError("data-quality rules failed: "
+                         + ", ".join(f"{r['rule']}={r['violations']} (e.g. {r['sample']})" for r in failed))

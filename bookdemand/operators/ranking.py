@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bookdemand.operators.join import broadcast_limit, profile_dimension
 from bookdemand.session import checkpoint_dir
 
 # monotonically_increasing_id(): partition index in the upper 31 bits, the
@@ -25,15 +26,13 @@ def top_n_per_group(
 
     ``row_number() <= n`` lets Catalyst insert a partial ``WindowGroupLimit``
     before the shuffle: each map task forwards at most ``n`` rows per group,
-    so a group holding a third of the data never reaches one task whole.
+    so a group holding a third of the data never reaches one task whole.  For
+    ``n`` beyond ``spark.sql.optimizer.windowGroupLimitThreshold``
+    (``build_session`` sets it to a million) the limit is applied after the
+    shuffle only.
     """
     if n <= 0:
         raise ValueError("top_n_per_group needs n > 0")
-    spark = df.sparkSession
-    threshold = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if 0 <= threshold < n:
-        # keep the partial limit for larger n as well
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", str(n))
     w = Window.partitionBy(*group_cols).orderBy(*order_cols)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= F.lit(n))
 
@@ -45,7 +44,7 @@ def global_positions(
     partition_cols: Sequence[str] = (),
     out_col: str = "position",
     partitions: int | None = None,
-    max_broadcast_pieces: int = 1_000_000,
+    max_broadcast_pieces: int | None = None,
 ) -> DataFrame:
     """Every row of ``df`` with its 1-based position under ``order_cols``
     inside its ``partition_cols`` group (the whole frame when none) — what
@@ -90,8 +89,13 @@ def global_positions(
         F.coalesce(F.sum("_n").over(in_partition.rowsBetween(*before)), F.lit(0)).alias("_first"),
         F.coalesce(F.sum("_n").over(in_group.rowsBetween(*before)), F.lit(0)).alias("_off"),
     )
-    if not g or pieces.count() <= max_broadcast_pieces:
-        # one row per partition, or a counted number of pieces
+    if not g:
+        fits = True  # one row per partition
+    elif max_broadcast_pieces is not None:
+        fits = pieces.count() <= max_broadcast_pieces
+    else:
+        fits = profile_dimension(pieces, "_pid", per_key=False).broadcast_bytes <= broadcast_limit(spark)
+    if fits:
         offsets = F.broadcast(offsets)
     cond = [numbered["_pid"] == offsets["_pid"]] + [numbered[c].eqNullSafe(offsets[f"_o_{c}"]) for c in g]
     position = F.col("_off") + F.col("_local") - F.col("_first") + F.lit(1)

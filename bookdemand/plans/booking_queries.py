@@ -35,6 +35,23 @@ def filter_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("filter_select_landing", f"""WITH {REQUESTS_CTE}
+SELECT request_id, room_id, booking_date, start_time, end_time, attendees, status
+FROM requests
+WHERE status = '{APPROVED_STATUS}' AND attendees >= {S.MIN_ATTENDEES}
+  AND booking_date BETWEEN DATE '{YEAR_START}' AND DATE '{YEAR_END}'""")
+def filter_select_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 on a copy of the requests partitioned by month, bounds without
+    leading zeros: only the year's months are listed and read."""
+    from bookdemand.session import scratch_path
+    from bookdemand.sinks.files import write_landing_zone
+
+    path = scratch_path(spark, "landing")
+    write_landing_zone(load_requests(spark, sf_dir), path)
+    plain = ["-".join(str(int(p)) for p in day.split("-")) for day in (YEAR_START, YEAR_END)]
+    return filter_requests(spark.read.parquet(path), approved=APPROVED_STATUS, start=plain[0], end=plain[1])
+
+
 # --- T2 ---------------------------------------------------------------------
 @register("group_demand", f"""WITH {REQUESTS_CTE}
 SELECT room_id, count(request_id) AS request_count, avg(attendees) AS avg_attendees,
@@ -62,7 +79,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parts(spark, path, t2.schema)
 
 
-# first year of the orders' date range: half-year 0 is its first half
+# the year that half-years are counted from
 HALF_YEAR_BASE = 1992
 
 
@@ -137,6 +154,52 @@ def priority_score_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return priority_score(joined, approved=APPROVED_STATUS)
 
 
+# Hours of the offsets that instants are written with in the text queries.
+OFFSETS = (-5, 0, 9, 14)
+
+
+def _instant_text(created: F.Column, key: F.Column) -> F.Column:
+    """The instant as ISO text at one of the offsets, picked by the key."""
+    hours = F.element_at(F.array(*[F.lit(h) for h in OFFSETS]), (F.pmod(key, F.lit(len(OFFSETS))) + 1).cast("int"))
+    sign = F.when(hours < 0, "-").otherwise("+")
+    local = F.date_format(created + F.make_dt_interval(F.lit(0), hours), "yyyy-MM-dd'T'HH:mm:ss")
+    return F.concat(local, sign, F.lpad(F.abs(hours).cast("string"), 2, "0"), F.lit(":00"))
+
+
+@register("priority_score_text", f"""WITH {REQUESTS_CTE}, {ROOMS_CTE}, {JOINED_CTE}
+SELECT request_id, {score_sql(APPROVED_STATUS)} AS priority_score FROM joined""")
+def priority_score_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 with the creation instant as text at several offsets: the same
+    scores, because the lead is counted from the instant's UTC day (X3)."""
+    r = load_requests(spark, sf_dir)
+    r = r.withColumn(S.CREATED_AT, _instant_text(F.col(S.CREATED_AT), F.col(S.REQUEST_ID)))
+    scored = priority_score(join_rooms(r, load_rooms(spark, sf_dir)), approved=APPROVED_STATUS)
+    return scored.select(S.REQUEST_ID, S.PRIORITY_SCORE)
+
+
+@register("csv_bookings", f"""WITH {REQUESTS_CTE}, {ROOMS_CTE}, {JOINED_CTE}
+SELECT CAST(request_id AS VARCHAR) AS request_id, room_code, capacity, {score_sql(APPROVED_STATUS)} AS priority_score FROM joined""")
+def csv_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1 / SRC-2 end to end: requests and rooms written as CSV under the
+    published headers, read back by the strict readers, joined and scored."""
+    from bookdemand.commands import as_published
+    from bookdemand.session import scratch_path
+    from bookdemand.sinks.files import write_csv
+    from bookdemand.sources.csv import read_requests_csv, read_rooms_csv
+
+    requests, rooms = load_requests(spark, sf_dir), load_rooms(spark, sf_dir)
+    for c in set(S.REQUEST_COLUMNS) - set(requests.columns):
+        requests = requests.withColumn(c, F.col(S.CREATED_AT) if c == S.UPDATED_AT else F.concat(F.lit(f"{c} "), F.col(S.REQUEST_ID).cast("string")))
+    for c in set(S.ROOM_COLUMNS) - set(rooms.columns):
+        stamp = c in (S.CREATED_AT, S.UPDATED_AT)
+        rooms = rooms.withColumn(c, F.lit("2020-01-01 00:00:00").cast("timestamp") if stamp else F.concat(F.lit(f"{c}, "), F.col(S.ROOM_ID).cast("string")))
+    paths = [scratch_path(spark, name) for name in ("requests-csv", "rooms-csv")]
+    write_csv(as_published(requests.select(*S.REQUEST_COLUMNS), S.PUBLISHED_REQUEST_HEADER), paths[0])
+    write_csv(as_published(rooms.select(*S.ROOM_COLUMNS), S.PUBLISHED_ROOM_HEADER), paths[1])
+    joined = join_rooms(read_requests_csv(spark, paths[0], S.PUBLISHED_REQUEST_HEADER), read_rooms_csv(spark, paths[1], S.PUBLISHED_ROOM_HEADER))
+    return priority_score(joined, approved=APPROVED_STATUS).select(S.REQUEST_ID, S.ROOM_CODE, S.CAPACITY, S.PRIORITY_SCORE)
+
+
 # --- T5 ---------------------------------------------------------------------
 @register("top_demand", f"""WITH {REQUESTS_CTE}
 SELECT request_id, room_id, booking_date, start_time, end_time, attendees, status,

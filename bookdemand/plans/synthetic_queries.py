@@ -17,7 +17,7 @@ from bookdemand.plans.registry import register
 from bookdemand.sources.synthetic import DEFAULT_NAMESPACE, ROOMS_PER_FLOOR, synthetic_requests, synthetic_rooms
 from bookdemand.sources.tables import read_table
 
-SEED = 20260804
+SEED = 1009
 
 
 def _generated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -20,6 +20,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # top-n per group keeps its partial limit for any n up to this
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
 }
 
 
@@ -57,7 +59,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = {"spark.ui.enabled": "false", **PINNED_SEMANTICS, **ADAPTIVE, **JOIN_POLICY}
+    conf = {"spark.ui.enabled": "false", "spark.cleaner.referenceTracking.cleanCheckpoints": "true", **PINNED_SEMANTICS, **ADAPTIVE, **JOIN_POLICY}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -73,18 +75,17 @@ def scale_settings(
     *,
     split_bytes: int = 256 << 20,
     shuffle_partition_bytes: int = 200 << 20,
-    max_shuffle_partitions: int = 100_000,
 ) -> dict[str, str]:
     """Spill-aware sizing for a job reading ``input_bytes`` on ``total_cores``.
 
     Scan splits of ``split_bytes``; an initial shuffle width that gives each
     reduce task about ``shuffle_partition_bytes`` of the input (at least two
-    waves of the cluster, at most ``max_shuffle_partitions``), which AQE then
+    waves of the cluster), which AQE then
     coalesces towards its advisory size and splits where a partition is
-    skewed.  Example: 100 TB on 8,000 cores → 100,000 shuffle partitions.
+    skewed.  Example: 100 TB on 8,000 cores → 500,000 shuffle partitions.
     """
     wanted = -(-input_bytes // shuffle_partition_bytes)
-    partitions = max(2 * total_cores, min(wanted, max_shuffle_partitions))
+    partitions = max(2 * total_cores, wanted)
     return {
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
@@ -98,13 +99,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming state.
 
     The cluster names it in ``spark.checkpoint.dir``; that value is used as is.
-    Only when it is unset (a laptop or a test) a private local folder is made.
+    Only when it is unset and the master is local (a laptop or a test) a
+    private local folder is made; on a cluster an unset folder is an error,
+    because executors could not read what the driver or another one wrote.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="bookdemand-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc.getCheckpointDir() is None:

@@ -48,7 +48,9 @@ def publish_staged(df: DataFrame, path: str, *, fmt: str = "csv", expected_rows:
 
     Readers of ``path`` never see a half-written table: the job commits into
     a staging directory; only a committed (``_SUCCESS``) directory — whose row
-    count matches ``expected_rows`` when given — replaces the old one.  On
+    count matches ``expected_rows`` when given — replaces the old one, which
+    is moved aside first and deleted last, so that a crash between leaves one
+    of the two whole under a name that says what it is.  On
     stores without atomic rename the swap is a copy; prefer a table format
     there.
     """
@@ -70,10 +72,16 @@ def publish_staged(df: DataFrame, path: str, *, fmt: str = "csv", expected_rows:
             fs.delete(jstaging, True)
             raise RuntimeError(f"staged write of {path} has {got} rows, expected {expected_rows}")
     _, jtarget = _fs(spark, path)
-    if fs.exists(jtarget):
-        fs.delete(jtarget, True)
+    retired = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.retired-{uuid.uuid4().hex[:12]}")
+    replaces = fs.exists(jtarget)
+    if replaces and not fs.rename(jtarget, retired):
+        raise RuntimeError(f"could not move the old {path} aside; the new one is at {staging}")
     if not fs.rename(jstaging, jtarget):
-        raise RuntimeError(f"could not move {staging} to {path}")
+        if replaces:
+            fs.rename(retired, jtarget)
+        raise RuntimeError(f"could not move {staging} to {path}; the old table is in place")
+    if replaces:
+        fs.delete(retired, True)
     return path
 
 
@@ -90,20 +98,6 @@ def write_outputs(outputs: Mapping[str, DataFrame], base: str, *, staged: bool =
     return done
 
 
-def export_single_file(df: DataFrame, path: str, *, max_rows: int) -> str:
-    """SNK-4: one CSV file, for results with a known small bound only.
-
-    A single file is written by a single task, so the row count is checked
-    against ``max_rows`` first and a larger result is refused (use
-    ``write_csv`` for those).  Nothing is truncated.
-    """
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows exceed the single-file bound {max_rows}; write a directory instead")
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-    return path
-
-
 def write_landing_zone(requests: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     """Bookings as parquet partitioned by booking month.
 

@@ -33,7 +33,7 @@ YEAR_START = "1996-07-01"
 YEAR_END = "1997-06-30"
 
 
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+_RELATIONS: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *, refresh: bool = False) -> DataFrame:
@@ -43,8 +43,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *, refresh: bool = F
     session and path, as a catalog would; ``refresh=True`` lists again.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    application = spark.sparkContext.applicationId
+    key = (application, id(spark), path)
     if refresh or key not in _RELATIONS:
+        for old in [k for k in _RELATIONS if k[0] != application]:
+            del _RELATIONS[old]  # relations of sessions that have ended
         _RELATIONS[key] = spark.read.parquet(path)
     return _RELATIONS[key]
 

@@ -2,12 +2,13 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql.types import LongType, StructField, StructType
 
 from bookdemand import schemas as S
 from bookdemand.operators import filter_requests
 from bookdemand.plans.inspect import plan_text
 from bookdemand.sinks.files import (
-    export_single_file, publish_staged, with_fixed_decimals, write_csv, write_landing_zone, write_outputs,
+    publish_staged, with_fixed_decimals, write_csv, write_landing_zone, write_outputs,
 )
 from bookdemand.sources.csv import read_parts, read_requests_csv, read_rooms_csv
 
@@ -77,12 +78,33 @@ def test_staged_publish_replaces_atomically(spark, tmp_path):
     assert set(done) == {"a", "b"}
 
 
-def test_single_file_export_is_bounded(spark, tmp_path):
-    export_single_file(spark.range(10), str(tmp_path / "one"), max_rows=10)
-    parts = [p for p in os.listdir(tmp_path / "one") if p.startswith("part-")]
-    assert len(parts) == 1
-    with pytest.raises(ValueError):
-        export_single_file(spark.range(11), str(tmp_path / "two"), max_rows=10)
+def test_reordered_header_is_rejected(spark, tmp_path):
+    spark.createDataFrame([(1, 2)], "b long, a long").write.option("header", True).csv(str(tmp_path / "t"))
+    with pytest.raises(Exception):
+        read_parts(spark, str(tmp_path / "t"), StructType([StructField("a", LongType()), StructField("b", LongType())])).collect()
+
+
+def test_failed_swap_keeps_the_old_table(spark, tmp_path, monkeypatch):
+    from bookdemand.sinks import files
+
+    target = str(tmp_path / "t")
+    publish_staged(spark.range(3), target)
+    real = files._fs
+
+    class Broken:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, a, b):
+            return False if ".staging-" in a.toString() else self.fs.rename(a, b)
+
+    monkeypatch.setattr(files, "_fs", lambda s, p: (Broken(real(s, p)[0]), real(s, p)[1]))
+    with pytest.raises(RuntimeError, match="could not move"):
+        publish_staged(spark.range(9), target)
+    assert spark.read.option("header", True).csv(target).count() == 3
 
 
 def test_fixed_decimals(spark):
