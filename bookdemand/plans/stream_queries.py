@@ -20,7 +20,8 @@ from bookdemand.sources.tables import (
     APPROVED_STATUS, YEAR_END, YEAR_START, load_rooms, read_table, requests_from_orders,
 )
 from bookdemand.streaming.core import (
-    as_event_time, dedup_within_watermark, file_stream, ranking_upsert_sink, run_available_now, windowed_demand,
+    as_event_time, dedup_within_watermark, dropped_rows, file_stream, land_in_order, ranking_upsert_sink,
+    run_available_now, windowed_demand,
 )
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
@@ -31,6 +32,24 @@ def _table_stream(spark: SparkSession, sf_dir: str, name: str, **kw) -> DataFram
     return file_stream(spark, sf_dir, schema, glob=f"{name}.parquet", **kw)
 
 
+FILES_PER_BATCH = 8  # bounds a micro-batch, whatever the table's size
+
+
+def _ordered_stream(df: DataFrame, base: str) -> DataFrame:
+    """``df`` as a stream in event-time order, in at least four micro-batches."""
+    files = land_in_order(df, f"{base}/in", "ts")
+    return as_event_time(file_stream(df.sparkSession, f"{base}/in", df.schema,
+                                     max_files_per_trigger=min(FILES_PER_BATCH, max(1, files // 4))), "ts")
+
+
+def _run_without_loss(stream: DataFrame, base: str) -> DataFrame:
+    """Run to parquet; rows dropped as late are an error here, because the feed is in order."""
+    query = run_available_now(stream, f"{base}/_checkpoint", sink_path=f"{base}/out")
+    if late := dropped_rows(query):
+        raise RuntimeError(f"{late} rows came after the watermark")
+    return stream.sparkSession.read.parquet(f"{base}/out")
+
+
 def _run_to_parquet(stream: DataFrame, tag: str) -> DataFrame:
     spark = stream.sparkSession
     base = scratch_path(spark, tag)
@@ -81,39 +100,37 @@ FROM b GROUP BY ws, user_id
 HAVING ws + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 def stream_window_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-2: per user, 1-day windows sliding every 6 hours, 1-hour watermark;
-    append mode emits each window once the watermark has passed its end."""
-    events = as_event_time(_table_stream(spark, sf_dir, "events"), "ts")
+    append mode emits each window once the watermark has passed its end.  The
+    events come in time order, in micro-batches of a bounded size."""
+    base = scratch_path(spark, "stream-window")
+    events = _ordered_stream(read_table(spark, sf_dir, "events").select(*EVENT_COLS), base)
     out = windowed_demand(events, time_col="ts", key="user_id", value_col="value",
                           size="1 day", slide="6 hours", watermark="1 hour")
-    res = _run_to_parquet(out, "stream-window")
+    res = _run_without_loss(out, base)
     return res.withColumn("avg_value", F.round("avg_value", 9))
 
 
 @register("stream_dedup", "SELECT event_id, ts, user_id, event_type, value FROM events")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-8: an at-least-once feed (every event delivered twice) deduplicated
-    by event id within the watermark."""
+    by event id within the watermark, in micro-batches of a bounded size."""
     base = scratch_path(spark, "stream-dedup")
     events = read_table(spark, sf_dir, "events").select(*EVENT_COLS)
-    for _ in range(2):
-        events.write.mode("append").parquet(f"{base}/in")
-    stream = as_event_time(file_stream(spark, f"{base}/in", events.schema), "ts")
+    stream = _ordered_stream(events.union(events), base)
     out = dedup_within_watermark(stream, time_col="ts", keys=["event_id"], watermark="1 hour")
-    run_available_now(out.withColumn("ts", F.col("ts").cast("timestamp_ntz")), f"{base}/_checkpoint",
-                      sink_path=f"{base}/out")
-    return spark.read.parquet(f"{base}/out")
+    return _run_without_loss(out.withColumn("ts", F.col("ts").cast("timestamp_ntz")), base)
 
 
 @register("stream_rank", ORACLE_SQL["top_events_per_day"])
 def stream_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S-5: daily top 3 events maintained across micro-batches (the feed is
-    replayed as about four batches of files) with an idempotent upsert per day."""
+    """S-5: daily top 3 events maintained across micro-batches of a bounded
+    size (the feed in event-id order, so that every batch touches many days)
+    with an idempotent upsert per day."""
     base = scratch_path(spark, "stream-rank")
     events = read_table(spark, sf_dir, "events").select(*EVENT_COLS)
-    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    events.repartition(files, "event_id").write.parquet(f"{base}/in")
-    per_batch = max(1, -(-files // 4))
-    stream = file_stream(spark, f"{base}/in", events.schema, max_files_per_trigger=per_batch).select(
+    files = land_in_order(events, f"{base}/in", "event_id")
+    stream = file_stream(spark, f"{base}/in", events.schema,
+                         max_files_per_trigger=min(FILES_PER_BATCH, max(1, files // 4))).select(
         F.to_date("ts").alias("day"), "event_id", "user_id", "event_type", "value"
     )
     sink = ranking_upsert_sink(f"{base}/out", window_col="day", id_col="event_id",

@@ -11,13 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType, TimestampNTZType
 
 from bookdemand.operators.ranking import top_n_per_group
-from bookdemand.session import checkpoint_dir
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -119,19 +118,26 @@ def idempotent_batch_sink(path: str, *, fmt: str = "parquet") -> Callable[[DataF
 
 
 def store_batch_sink(
-    write_batch: Callable[[DataFrame], None], *, dedupe_keys: Sequence[str] | None = None,
+    write_batch: Callable[[DataFrame, int], None], *, dedupe_keys: Sequence[str] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """SNK-7: hand every micro-batch to an operational-store writer, e.g.
-    ``lambda df: df.write.jdbc(url, table, mode="append", properties=props)``.
-    With ``dedupe_keys`` a batch is deduplicated first, so an at-least-once
-    store with a unique key on those columns stays consistent on replay."""
+    """SNK-7: hand every micro-batch and its id to an operational-store writer.
+
+    A batch may come again after a failure, under the same id: the writer
+    first removes what it stored under that id, then inserts (delete-then-
+    insert by ``batch_id``), so that a replay neither doubles nor fails.  With
+    ``dedupe_keys`` a batch is deduplicated before."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch.dropDuplicates(list(dedupe_keys)) if dedupe_keys else batch)
+        write_batch(batch.dropDuplicates(list(dedupe_keys)) if dedupe_keys else batch, batch_id)
 
     return write
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def ranking_upsert_sink(
     path: str,
     *,
@@ -144,43 +150,82 @@ def ranking_upsert_sink(
 
     Per batch: the stored top-n of the windows this batch touches is merged
     with the batch rows (only the partitions inside the batch's window range
-    are read), duplicates by ``id_col`` are dropped (so a replayed batch
-    changes nothing), the top ``n`` per window is recomputed with the
-    partial-limit window plan, and only those windows' partitions are
-    replaced (dynamic partition overwrite).  State per window is ≤ n rows.
+    are read), rows beyond the ``n``-th place are cut before the shuffle,
+    copies by ``id_col`` (equal under the total order) are dropped among the
+    few that are left, and only those windows' partitions are replaced.
+    State per window is ≤ n rows.
+
+    The new rankings are committed to a journal beside ``path`` first and
+    copied from there.  A crash while partitions are being replaced leaves
+    the journal, and the next batch (or the replay) copies it again before
+    anything else; a replayed batch changes nothing.
     """
+    journal = f"{path.rstrip('/')}.journal"
+
+    def apply_journal(spark: SparkSession) -> None:
+        spark.read.parquet(journal).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy(window_col).parquet(path)
+        _delete(spark, journal)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        checkpoint_dir(spark)
+        if _exists(spark, f"{journal}/_SUCCESS"):
+            apply_journal(spark)
+        elif _exists(spark, journal):
+            _delete(spark, journal)  # a batch that did not get as far as committing
         w = F.col(window_col)
-        # the batch's window range (one row) prunes the stored partitions
-        # statically, so a batch reads the windows it touches, not the history
-        span = batch.agg(F.min(w).alias("lo"), F.max(w).alias("hi"),
-                         F.count(F.when(w.isNull(), F.lit(1))).alias("nulls")).first()
-        if span["lo"] is None and span["nulls"] == 0:
-            return  # empty batch: nothing to merge
-        touched = batch.select(window_col).distinct()
-        if _exists(spark, path):
-            stored = spark.read.parquet(path)
-            stored = stored.withColumn(window_col, w.cast(batch.schema[window_col].dataType))
-            in_span = w.between(F.lit(span["lo"]), F.lit(span["hi"])) if span["lo"] is not None else F.lit(False)
-            stored = stored.filter(in_span | w.isNull() if span["nulls"] else in_span)
-            stored = stored.drop("rank")
-            # null-safe: a null window is a group of its own, as in the ranking itself
-            in_touched = stored[window_col].eqNullSafe(touched[window_col])
-            merged = batch.unionByName(stored.join(touched, on=in_touched, how="left_semi"))
-        else:
+        batch = batch.persist()
+        try:
+            # the batch's window range (one row) prunes the stored partitions
+            # statically, so a batch reads the windows it touches, not the history
+            span = batch.agg(F.min(w).alias("lo"), F.max(w).alias("hi"),
+                             F.count(F.when(w.isNull(), F.lit(1))).alias("nulls")).first()
+            if span["lo"] is None and span["nulls"] == 0:
+                return  # empty batch: nothing to merge
+            touched = batch.select(window_col).distinct()
             merged = batch
-        ranked = top_n_per_group(merged.dropDuplicates([id_col]), [window_col], list(order_cols), n)
-        # cut the lineage to the stored files before overwriting them (reliable checkpoint)
-        ranked = ranked.checkpoint(eager=True)
-        ranked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy(window_col).parquet(path)
+            if _exists(spark, path):
+                stored = spark.read.schema(batch.schema).parquet(path)
+                in_span = w.between(F.lit(span["lo"]), F.lit(span["hi"])) if span["lo"] is not None else F.lit(False)
+                stored = stored.filter(in_span | w.isNull() if span["nulls"] else in_span)
+                # null-safe: a null window is a group of its own, as in the ranking itself
+                in_touched = stored[window_col].eqNullSafe(touched[window_col])
+                merged = batch.unionByName(stored.join(touched, on=in_touched, how="left_semi"))
+            # copies of a row tie: the places count distinct rows
+            place = F.dense_rank().over(Window.partitionBy(window_col).orderBy(*order_cols))
+            few = merged.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
+            ranked = top_n_per_group(few.dropDuplicates([id_col]), [window_col], list(order_cols), n)
+            ranked.write.mode("overwrite").parquet(journal)
+        finally:
+            batch.unpersist()
+        apply_journal(spark)
 
     return write
 
 
+def land_in_order(df: DataFrame, path: str, time_col: str, *, rows_per_file: int = 500_000, least_files: int = 4) -> int:
+    """Write ``df`` as parquet files that a file stream takes in event-time
+    order: rows are range-partitioned by ``time_col``, and the files' times
+    follow their ranges.  Returns the number of files planned."""
+    spark = df.sparkSession
+    files = max(least_files, -(-df.count() // rows_per_file))
+    df.repartitionByRange(files, time_col).sortWithinPartitions(time_col).write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted((s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")),
+                   key=lambda p: p.getName())
+    for k, part in enumerate(parts):
+        fs.setTimes(part, 1_700_000_000_000 + 1000 * k, -1)
+    return files
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark had passed them, over the query's recent batches."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0) or 0)
+               for p in query.recentProgress for op in (p.get("stateOperators") or []))
+
+
 def run_available_now(
     stream: DataFrame,
     checkpoint: str,
