@@ -1,6 +1,6 @@
 """Do two datasets agree?  (EQ-1 … EQ-6)
 
-Both sides are tagged and unioned, then aggregated once per check — no
+Both sides are tagged and unioned, then aggregated — no
 cross or outer joins.  Grouping treats null keys as one group, so the
 per-key comparison is null-safe by construction, and partial aggregation
 keeps hot keys cheap.
@@ -9,7 +9,6 @@ keeps hot keys cheap.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,44 +30,6 @@ def _status(ok: Column) -> Column:
     return F.when(ok, F.lit("PASS")).otherwise(F.lit("FAIL"))
 
 
-def control_checks(left: DataFrame, right: DataFrame, value_col: str, tol: float = 1e-9) -> DataFrame:
-    """EQ-1 cardinality, EQ-2 control sum, EQ-3 control mean (abs tolerance)."""
-    t = _tagged(left, right, [value_col])
-    v = F.col(value_col).cast("double")
-    agg = t.agg(
-        F.count(_on(0, F.lit(1))).cast("double").alias("n0"),
-        F.count(_on(1, F.lit(1))).cast("double").alias("n1"),
-        F.sum(_on(0, v)).alias("s0"), F.sum(_on(1, v)).alias("s1"),
-        F.avg(_on(0, v)).alias("m0"), F.avg(_on(1, v)).alias("m1"),
-    )
-
-    def row(name: str, a: str, b: str, exact: bool) -> DataFrame:
-        diff = F.abs(F.col(a) - F.col(b))
-        ok = (F.col(a) == F.col(b)) if exact else (diff <= F.lit(tol)) | (F.col(a).isNull() & F.col(b).isNull())
-        return agg.select(
-            F.lit(name).alias("check"), F.col(a).alias("left_value"), F.col(b).alias("right_value"),
-            F.when(F.coalesce(ok, F.lit(False)), F.lit(0)).otherwise(F.lit(1)).cast("long").alias("differing"),
-            _status(F.coalesce(ok, F.lit(False))).alias("status"),
-        )
-
-    return row("cardinality", "n0", "n1", True).unionByName(row("control_sum", "s0", "s1", False)) \
-        .unionByName(row("control_mean", "m0", "m1", False))
-
-
-def key_count_check(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """EQ-4: the number of rows per key agrees (null key included)."""
-    t = _tagged(left, right, list(keys))
-    per_key = t.groupBy(*keys).agg(
-        F.count(_on(0, F.lit(1))).alias("c0"), F.count(_on(1, F.lit(1))).alias("c1")
-    )
-    return per_key.agg(
-        F.lit("counts_per_key").alias("check"),
-        F.count(F.when(F.col("c0") > 0, 1)).cast("double").alias("left_value"),
-        F.count(F.when(F.col("c1") > 0, 1)).cast("double").alias("right_value"),
-        F.count(F.when(F.col("c0") != F.col("c1"), 1)).cast("long").alias("differing"),
-    ).withColumn("status", _status(F.col("differing") == 0))
-
-
 def row_multiset_check(left: DataFrame, right: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """EQ-5: the same rows with the same multiplicities (``exceptAll`` both
     ways, as one grouped count).  ``differing`` is the number of unmatched rows."""
@@ -110,14 +71,14 @@ def equivalence_report(
     compare_rows: bool = True,
     tol: float = 1e-9,
 ) -> DataFrame:
-    """EQ-6: one PASS/FAIL row per check, from a single pass.
-
-    Both inputs are read once: the tagged union is grouped by all columns
-    (or by keys and value when ``compare_rows`` is off) with a count per
-    side, and every check is an aggregate of that grouped table — row
-    multiset, counts per key, cardinality, control sum (Σ value·count) and
-    control mean.  Identical inputs give bit-identical sums because equal
-    rows share a group.
+    """EQ-6: one PASS/FAIL row per check.
+
+    The tagged union is grouped by all columns (or by keys and value when
+    ``compare_rows`` is off) with a count per side, those groups by the keys,
+    and those into one row, which is unfolded into the checks: row multiset,
+    counts per key, cardinality, control sum (Σ value·count) and control
+    mean.  Each input is planned and read once.  Identical inputs give
+    bit-identical sums because equal rows share a group.
     """
     cols = list(left.columns) if compare_rows else list(dict.fromkeys([*keys, value_col]))
     t = _tagged(left, right, cols)
@@ -125,40 +86,41 @@ def equivalence_report(
         F.count(_on(0, F.lit(1))).alias("_c0"), F.count(_on(1, F.lit(1))).alias("_c1")
     )
     v = F.col(value_col).cast("double")
-    ctl = per_row.agg(
-        F.sum("_c0").cast("double").alias("n0"), F.sum("_c1").cast("double").alias("n1"),
-        F.sum(v * F.col("_c0")).alias("s0"), F.sum(v * F.col("_c1")).alias("s1"),
-        F.sum(F.when(v.isNotNull(), F.col("_c0"))).alias("k0"), F.sum(F.when(v.isNotNull(), F.col("_c1"))).alias("k1"),
+    sides = (0, 1)
+    per_key = per_row.groupBy(*keys).agg(
+        *[F.sum(f"_c{i}").alias(f"n{i}") for i in sides],
+        *[F.sum(v * F.col(f"_c{i}")).alias(f"s{i}") for i in sides],
+        *[F.sum(F.when(v.isNotNull(), F.col(f"_c{i}"))).alias(f"k{i}") for i in sides],
         F.sum(F.abs(F.col("_c0") - F.col("_c1"))).alias("rowdiff"),
     )
-    mean0 = F.when(F.col("k0") > 0, F.col("s0") / F.col("k0"))
-    mean1 = F.when(F.col("k1") > 0, F.col("s1") / F.col("k1"))
-
-    def close(a: Column, b: Column) -> Column:
-        return F.coalesce((F.abs(a - b) <= F.lit(tol)) | (a.isNull() & b.isNull()), a.isNull() & b.isNull())
-
-    def row(name: str, a: Column, b: Column, ok: Column, differing: Column | None = None) -> DataFrame:
-        diff = differing if differing is not None else F.when(ok, F.lit(0)).otherwise(F.lit(1))
-        return ctl.select(F.lit(name).alias("check"), a.cast("double").alias("left_value"),
-                          b.cast("double").alias("right_value"), diff.cast("long").alias("differing"),
-                          _status(ok).alias("status"))
-
-    parts = [
-        row("cardinality", F.col("n0"), F.col("n1"), F.coalesce(F.col("n0") == F.col("n1"), F.lit(True))),
-        row("control_sum", F.col("s0"), F.col("s1"), close(F.col("s0"), F.col("s1"))),
-        row("control_mean", mean0, mean1, close(mean0, mean1)),
+    ctl = per_key.agg(
+        *[F.sum(c).alias(c) for c in ("n0", "n1", "s0", "s1", "k0", "k1")],
+        F.coalesce(F.sum("rowdiff"), F.lit(0)).alias("rowdiff"),
+        *[F.count(F.when(F.col(f"n{i}") > 0, 1)).alias(f"keys{i}") for i in sides],
+        F.count(F.when(F.col("n0") != F.col("n1"), 1)).alias("keydiff"),
+    )
+
+    def check(name: str, a: Column, b: Column, differing: Column) -> Column:
+        return F.struct(F.lit(name).alias("check"), a.cast("double").alias("left_value"), b.cast("double").alias("right_value"),
+                        differing.cast("long").alias("differing"))
+
+    def apart(a: Column, b: Column, by: float) -> Column:
+        """0 if both agree within ``by`` or are both null, else 1."""
+        return F.when(F.coalesce(F.abs(a - b) <= F.lit(by), F.lit(False)) | (a.isNull() & b.isNull()), 0).otherwise(1)
+
+    n0, n1, s0, s1 = (F.col(c).cast("double") for c in ("n0", "n1", "s0", "s1"))
+    mean0, mean1 = (F.when(F.col(f"k{i}") > 0, F.col(f"s{i}") / F.col(f"k{i}")) for i in sides)
+    checks = [
+        check("cardinality", n0, n1, apart(n0, n1, 0.0)),
+        check("control_sum", s0, s1, apart(s0, s1, tol)),
+        check("control_mean", mean0, mean1, apart(mean0, mean1, tol)),
+        check("counts_per_key", F.col("keys0"), F.col("keys1"), F.col("keydiff")),
     ]
-    per_key = per_row.groupBy(*keys).agg(F.sum("_c0").alias("c0"), F.sum("_c1").alias("c1"))
-    parts.append(per_key.agg(
-        F.lit("counts_per_key").alias("check"),
-        F.count(F.when(F.col("c0") > 0, 1)).cast("double").alias("left_value"),
-        F.count(F.when(F.col("c1") > 0, 1)).cast("double").alias("right_value"),
-        F.count(F.when(F.col("c0") != F.col("c1"), 1)).cast("long").alias("differing"),
-    ).withColumn("status", _status(F.col("differing") == 0)))
     if compare_rows:
-        parts.append(row("same_rows", F.coalesce(F.col("n0"), F.lit(0.0)), F.coalesce(F.col("n1"), F.lit(0.0)),
-                         F.coalesce(F.col("rowdiff"), F.lit(0)) == 0, F.coalesce(F.col("rowdiff"), F.lit(0))))
-    return reduce(DataFrame.unionByName, [p.select(*REPORT_COLUMNS) for p in parts])
+        zero = F.lit(0.0)
+        checks.append(check("same_rows", F.coalesce(n0, zero), F.coalesce(n1, zero), F.col("rowdiff")))
+    report = ctl.select(F.inline(F.array(*checks)))
+    return report.withColumn("status", _status(F.col("differing") == 0)).select(*REPORT_COLUMNS)
 
 
 def assert_equivalent(report: DataFrame) -> None:

@@ -10,10 +10,11 @@ Here the median is found by rank instead:
    checkpointed so the partition id of every row is fixed even if a task or
    an executor is lost and recomputed;
 3. per (partition, group) the counts give prefix offsets — a table of at most
-   ``groups + partitions`` rows — and a running sum inside each piece gives
-   every value its global rank interval;
-4. the one or two values covering the middle ranks give the median,
-   interpolated the way ``percentile(v, 0.5)`` does.
+   ``groups + partitions`` rows — which name the one or two pieces of each
+   group that hold its middle ranks; all others are left behind;
+4. a running sum inside those pieces gives their values' rank intervals, and
+   the values covering the middle ranks give the median, interpolated the
+   way ``percentile(v, 0.5)`` does.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bookdemand.operators.join import broadcast_limit, profile_dimension
 from bookdemand.session import checkpoint_dir
 
 
@@ -60,25 +62,26 @@ def exact_median(
     Groups with only null values are absent (as with ``groupBy().agg``)."""
     g = list(group_cols)
     v = value_col
+    spark = df.sparkSession
     ranged = value_pieces(df, g, v, partitions)
-    piece = Window.partitionBy("_pid", *g).orderBy(v).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_cum", F.sum("_n").over(piece))
     totals = ranged.groupBy("_pid", *g).agg(F.sum("_n").alias("_t"))
     before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0))) \
         .withColumn("_size", F.sum("_t").over(Window.partitionBy(*g)))
-    # null-safe on the group columns: a null group is a group, as in groupBy
-    offsets = offsets.select("_pid", *[F.col(c).alias(f"_o_{c}") for c in g], "_off", "_size")
-    cond = [local["_pid"] == offsets["_pid"]] + [local[c].eqNullSafe(offsets[f"_o_{c}"]) for c in g]
-    ranked = local.join(offsets, on=cond, how="inner").select(
-        *[local[c] for c in g], local[v],
-        (F.col("_off") + F.col("_cum") - F.col("_n") + 1).alias("_first"),
-        (F.col("_off") + F.col("_cum")).alias("_last"),
-        F.col("_size"),
-    )
     # 1-based ranks of the lower and upper middle values
-    k_lo = F.floor((F.col("_size") - 1) / 2) + 1
-    k_hi = F.floor(F.col("_size") / 2) + 1
+    k_lo, k_hi = F.floor((F.col("_size") - 1) / 2) + 1, F.floor(F.col("_size") / 2) + 1
+    # the one or two pieces of each group that hold them
+    middle = offsets.filter((F.col("_off") < k_hi) & (k_lo <= F.col("_off") + F.col("_t")))
+    # null-safe on the group columns: a null group is a group, as in groupBy
+    middle = middle.select(F.col("_pid").alias("_o_pid"), *[F.col(c).alias(f"_o_{c}") for c in g], "_off", "_size")
+    if profile_dimension(middle, "_o_pid", per_key=False).broadcast_bytes <= broadcast_limit(spark):
+        middle = F.broadcast(middle)
+    cond = [F.col("_pid") == F.col("_o_pid")] + [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in g]
+    held = ranged.join(middle, on=cond, how="inner").select(
+        "_pid", *g, v, "_n", "_off", "_size")
+    piece = Window.partitionBy("_pid", *g).orderBy(v).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = held.withColumn("_last", F.col("_off") + F.sum("_n").over(piece)) \
+        .withColumn("_first", F.col("_last") - F.col("_n") + 1)
     covers_lo = (F.col("_first") <= k_lo) & (k_lo <= F.col("_last"))
     covers_hi = (F.col("_first") <= k_hi) & (k_hi <= F.col("_last"))
     picked = ranked.filter(covers_lo | covers_hi).groupBy(*g).agg(
