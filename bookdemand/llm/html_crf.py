@@ -117,8 +117,9 @@ def blocks(page: str | None) -> list[Block]:
             stack.pop()
         if tag == "body" and stack and stack[-1][0] == "head":
             stack.pop()
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in SIBLINGS.get(tag, ()):
+        same = SIBLINGS.get(tag, ())
+        for k in range(len(stack) - 1, -1, -1) if same else ():
+            if stack[k][0] in same:
                 del stack[k:]
                 break
             if stack[k][0] in LISTS:
