@@ -15,8 +15,14 @@ from pyspark.sql import functions as F
 from bookdemand.functions._col import as_col
 
 
+def text_hash(text: Column) -> Column:
+    """The first 15 hexadecimal digits of the text's MD5, as a number: 60 bits
+    that any engine can compute."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def _unit_hash(seed: int, row: Column, field: str) -> Column:
-    return F.xxhash64(F.lit(seed), row, F.lit(field))
+    return text_hash(F.concat(F.lit(f"{seed}:{field}:"), row.cast("string")))
 
 
 def uniform_int(seed: int, row: str | Column, field: str, low: int | Column, high: int | Column) -> Column:

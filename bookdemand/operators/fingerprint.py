@@ -1,19 +1,34 @@
 """Content fingerprint of a table (DQ-14).
 
-Row count plus the sum of a 64-bit hash of every row, summed as a 38-digit
+Row count plus the sum of a 60-bit hash of every row, summed as a 38-digit
 decimal: independent of row order, partitioning and file layout, computed in
-one aggregate pass with partial sums.
+one aggregate pass with partial sums.  A row is hashed as text that other
+engines write alike: nulls marked, doubles with nine decimals, days and
+instants in ISO form, columns kept apart.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
+
+from bookdemand.functions.draws import text_hash
+
+BETWEEN = "\x1f"
+NULL_MARK = "\x1e"
+
+
+def _as_text(df: DataFrame, column: str) -> Column:
+    c = F.col(column)
+    if isinstance(df.schema[column].dataType, (DoubleType, FloatType)):
+        c = c.cast("decimal(38,9)")
+    return F.coalesce(c.cast("string"), F.lit(NULL_MARK))
 
 
 def table_fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    cols = columns or df.columns
-    h = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
+    parts = [_as_text(df, c) for c in (columns or df.columns)]
+    h = text_hash(F.concat_ws(BETWEEN, *parts)).cast("decimal(38,0)")
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).cast("string").alias("fingerprint"),
