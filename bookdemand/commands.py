@@ -28,7 +28,7 @@ from bookdemand import schemas as S
 from bookdemand.functions.dates import iso_date, iso_instant
 from bookdemand.operators.equivalence import equivalence_report
 from bookdemand.operators.scaling import median_summary, metrics_long, require_ok, speedup_versus, unit_scaling
-from bookdemand.session import build_session
+from bookdemand.session import build_session, size_to_input
 from bookdemand.sinks.files import publish_staged, with_fixed_decimals, write_outputs
 from bookdemand.sources.csv import read_csv_strict
 from bookdemand.sources.synthetic import synthetic_requests, synthetic_rooms
@@ -150,6 +150,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = build_session(args.master)
     if args.command == "compare":
+        size_to_input(spark, args.left, args.right)
         report = compare(spark, args.left, args.right, value=args.value, keys=args.key, schema=args.schema,
                          compare_rows=not args.no_rows, tol=args.tol)
         if args.out:
@@ -162,6 +163,7 @@ def main(argv: list[str] | None = None) -> int:
         done = generate(spark, args.rooms, args.requests, args.seed, args.out, fmt=args.format,
                         rows_per_partition=args.rows_per_partition)
     else:
+        size_to_input(spark, args.timings)
         base = dict(item.split("=", 1) for item in args.baseline)
         done = metrics(spark, args.timings, args.out, base or None)
     for name, path in sorted(done.items()):

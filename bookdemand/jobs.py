@@ -55,7 +55,7 @@ def main(argv: list[str] | None = None) -> int:
     line per output."""
     import argparse
 
-    from bookdemand.session import build_session
+    from bookdemand.session import build_session, scratch_path, size_to_input
     from bookdemand.sources.csv import read_requests_csv, read_rooms_csv
 
     p = argparse.ArgumentParser(prog="bookdemand.jobs", description="Publish T1-T5 for a requests and a rooms table.")
@@ -74,12 +74,17 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
 
     spark = build_session(args.master)
+    size_to_input(spark, args.requests, args.rooms)
     if args.format == "parquet":
         requests, rooms = spark.read.parquet(args.requests), spark.read.parquet(args.rooms)
     else:
         published = args.header == "published"
         requests = read_requests_csv(spark, args.requests, S.PUBLISHED_REQUEST_HEADER if published else None)
         rooms = read_rooms_csv(spark, args.rooms, S.PUBLISHED_ROOM_HEADER if published else None)
+        # five outputs read the requests: parse the text once
+        landed = scratch_path(spark, "requests")
+        requests.write.parquet(landed)
+        requests = spark.read.schema(requests.schema).parquet(landed)
     done = publish_booking_outputs(
         requests, rooms, args.out, approved=args.approved, min_attendees=args.min_attendees,
         start=args.start, end=args.end, n=args.top,

@@ -95,6 +95,20 @@ def scale_settings(
     }
 
 
+def size_to_input(spark: SparkSession, *paths: str) -> dict[str, str]:
+    """Set :func:`scale_settings` for the bytes under ``paths`` and the session's
+    cores; returns what was set."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    settings = scale_settings(total, spark.sparkContext.defaultParallelism)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    return settings
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming state.
 

@@ -95,7 +95,7 @@ def test_iso_formats(spark):
 def test_scale_settings():
     from bookdemand.session import scale_settings
     big = scale_settings(100 * 10**12, 8000)
-    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.shuffle.partitions"] == "476838"  # 200 MiB each, no upper bound
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
     small = scale_settings(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
