@@ -148,22 +148,37 @@ def cover(rows: list[tuple[str, int]], support: int, precision: float, needed: i
     toxic texts that lack ``needed`` explanations (ties: words, then longer ones), among
     those with enough support and precision.  What merely occurs beside them explains
     nothing new and stays out.  Yields (kind, text), toxic and other texts with it."""
-    found: list[dict[tuple[str, str], set[int]]] = [{}, {}]
-    for k, (text, y) in enumerate(rows):
+    def features(text: str) -> set[str]:
+        """Words, and their beginnings with a star."""
         words = set(re.findall(r"[^\W\d_]+", text.lower()))
-        for f in {("word", w) for w in words if len(w) >= 3} | {("stem", w[:n]) for w in words for n in PREFIXES if len(w) > n}:
-            found[y].setdefault(f, set()).add(k)
-    good = {f: at for f, at in found[1].items() if len(at) >= support and len(at) >= precision * (len(at) + len(found[0].get(f, ())))}
+        return {w for w in words if len(w) >= 3} | {w[:n] + "*" for w in words for n in PREFIXES if len(w) > n}
+
+    seen: Counter = Counter()
+    for text, y in rows:
+        if y:
+            seen.update(features(text))
+    likely = {f for f, n in seen.items() if n >= support}
+    del seen  # most features occur once; the sample's other texts only count the rest
+    good: dict[str, set[int]] = {f: set() for f in likely}
+    others: Counter = Counter()
+    for k, (text, y) in enumerate(rows):
+        if y:
+            for f in features(text) & likely:
+                good[f].add(k)
+        else:
+            others.update(features(text) & likely)
+    good = {f: at for f, at in good.items() if len(at) >= precision * (len(at) + others[f])}
     lacking = Counter({k: needed for k, (_, y) in enumerate(rows) if y})
     while good:
         gains = {f: sum(1 for k in at if lacking[k] > 0) for f, at in good.items()}
-        best = max(good, key=lambda f: (gains[f], f[0] == "word", len(f[1]), f[1]))
+        best = max(good, key=lambda f: (gains[f], f[-1] != "*", len(f), f))
         if gains[best] < support:
             return
-        yield best, len(good[best]), len(found[0].get(best, ()))
+        stem = best.rstrip("*")
+        yield ("stem" if best[-1] == "*" else "word", stem), len(good[best]), others[best]
         for k in good[best]:
             lacking[k] -= 1
-        good = {f: at for f, at in good.items() if gains[f] >= support and not f[1].startswith(best[1]) and not best[1].startswith(f[1])}
+        good = {f: at for f, at in good.items() if gains[f] >= support and not f.startswith(stem) and not stem.startswith(f.rstrip("*"))}
 
 
 def learn(rows: list[tuple[str, int]], support: int = 4, precision: float = 0.9) -> Grammar:
