@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from bookdemand.functions._col import as_col, ident
 
 
+TIME_OF_DAY = "^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]"
+
+
 def _valid_sql(t: str) -> str:
-    """Eight characters, digits where digits belong, hour below 24, the rest below 60."""
-    return (f"translate({t}, '0123456789', '##########') = '##:##:##' AND substring({t}, 1, 2) <= '23' "
-            f"AND substring({t}, 4, 2) <= '59' AND substring({t}, 7, 2) <= '59'")
+    """Eight characters: two digits each for an hour below 24, a minute and a second below 60."""
+    return f"length({t}) = 8 AND {t} RLIKE '{TIME_OF_DAY}'"
 
 
 def _seconds_sql(t: str, otherwise: str | None = None) -> str:
@@ -39,10 +41,7 @@ def seconds_of_day(c: str | Column) -> Column:
     if isinstance(c, str):
         return F.expr(_seconds_sql(ident(c)))
     t = c
-    valid = (
-        (F.translate(t, "0123456789", "##########") == "##:##:##")
-        & (F.substring(t, 1, 2) <= "23") & (F.substring(t, 4, 2) <= "59") & (F.substring(t, 7, 2) <= "59")
-    )
+    valid = (F.length(t) == 8) & t.rlike(TIME_OF_DAY)
     value = (
         F.substring(t, 1, 2).cast("int") * 3600
         + F.substring(t, 4, 2).cast("int") * 60

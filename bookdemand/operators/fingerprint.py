@@ -3,33 +3,37 @@
 Row count plus the sum of a 60-bit hash of every row, summed as a 38-digit
 decimal: independent of row order, partitioning and file layout, computed in
 one aggregate pass with partial sums.  A row is hashed as text that other
-engines write alike: nulls marked, doubles with nine decimals, days and
-instants in ISO form, columns kept apart.
+engines write alike: nulls marked, doubles in millionths (up to 9e12),
+instants as microseconds since 1970 in UTC, columns kept apart.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, TimestampNTZType, TimestampType
 
 from bookdemand.functions.draws import text_hash
 
 BETWEEN = "\x1f"
 NULL_MARK = "\x1e"
+MICRO = 1e6
 
 
 def _as_text(df: DataFrame, column: str) -> Column:
     c = F.col(column)
     if isinstance(df.schema[column].dataType, (DoubleType, FloatType)):
-        c = c.cast("decimal(38,9)")
+        c = F.floor(c * F.lit(MICRO) + F.lit(0.5)).cast("long")
+    elif isinstance(df.schema[column].dataType, (TimestampType, TimestampNTZType)):
+        c = F.unix_micros(c.cast("timestamp"))
     return F.coalesce(c.cast("string"), F.lit(NULL_MARK))
 
 
 def table_fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     parts = [_as_text(df, c) for c in (columns or df.columns)]
-    h = text_hash(F.concat_ws(BETWEEN, *parts)).cast("decimal(38,0)")
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).cast("string").alias("fingerprint"),
-    )
+    hashed = df.select(text_hash(F.concat_ws(BETWEEN, *parts)).alias("h"))
+    # 20 bits at a time: sums of longs, exact for up to 2^43 rows
+    piece = [F.shiftrightunsigned("h", 20 * k).bitwiseAND(F.lit((1 << 20) - 1)) for k in range(3)]
+    sums = hashed.agg(F.count(F.lit(1)).alias("rows"), *[F.coalesce(F.sum(p), F.lit(0)).alias(f"s{k}") for k, p in enumerate(piece)])
+    whole = sum((F.col(f"s{k}").cast("decimal(38,0)") * F.lit(1 << (20 * k)).cast("decimal(18,0)") for k in (1, 2)), F.col("s0").cast("decimal(38,0)"))
+    return sums.select("rows", whole.cast("decimal(38,0)").cast("string").alias("fingerprint"))
