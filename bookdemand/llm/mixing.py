@@ -8,6 +8,8 @@ tokens into the cell's share of the token budget.
 
 from __future__ import annotations
 
+import math
+import sys
 import zlib
 from collections.abc import Iterator, Mapping
 
@@ -116,21 +118,42 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float]], max_round
     return factors
 
 
-def scale_for(cells: DataFrame, budget: float, steps: int = 4, width: int = 32) -> float:
+def scale_for(cells: DataFrame, budget: float, tolerance: float = 1e-9, width: int = 32) -> float:
     """The largest k for which the expected tokens, sum of tokens * min(1, k * ratio), stay
-    within ``budget``; each step tries ``width`` values of k in one pass over the cells."""
-    top = cells.agg(F.max("ratio").alias("high"), F.min("ratio").alias("low")).first()
-    if not top["high"]:
+    within ``budget``, to a relative ``tolerance`` of the budget; ratios may lie any number
+    of magnitudes apart.
+
+    Each step sums the cells in one pass for ``width`` values of k in geometric steps. The
+    expected tokens are a concave function of k, made of straight pieces: every tangent
+    meets the budget at or below the right k, every chord at or above it.
+    """
+    seen = cells.agg(F.min("ratio").alias("low"), F.sum("tokens").alias("tokens"),
+                     F.sum(F.col("tokens") * F.col("ratio")).alias("mass")).first()
+    if not seen["low"] or budget <= 0:
         return 0.0
-    low, high = 0.0, 1.0 / top["low"]
-    for _ in range(steps):
-        tries = [low + (high - low) * k / width for k in range(1, width + 1)]
-        sums = cells.agg(*[F.sum(F.col("tokens") * F.least(F.lit(1.0), F.lit(k) * F.col("ratio"))).alias(f"k{j}") for j, k in enumerate(tries)]).first()
-        fitting = [k for j, k in enumerate(tries) if sums[j] <= budget]
-        low, high = (fitting[-1], min([k for k in tries if k > fitting[-1]], default=fitting[-1])) if fitting else (low, tries[0])
-        if low == high:
-            break
-    return low
+    high = min(2.0 / seen["low"], sys.float_info.max)
+    if seen["tokens"] <= budget:
+        return high
+    low = budget / seen["mass"]  # the tangent at 0
+    while True:
+        span = math.log(high) - math.log(low)
+        tries = [low, *(low * math.exp(span * j / width) for j in range(1, width)), high]
+        whole = [F.col("ratio") * F.lit(k) >= 1 for k in tries]
+        sums = cells.agg(*[F.sum(F.when(w, F.col("tokens")).otherwise(0)).alias(f"w{j}") for j, w in enumerate(whole)],
+                         *[F.sum(F.when(w, 0.0).otherwise(F.col("tokens") * F.col("ratio"))).alias(f"p{j}") for j, w in enumerate(whole)]).first()
+        points = [(k, sums[f"w{j}"], sums[f"p{j}"]) for j, k in enumerate(tries)]
+        expected = [w + k * p for k, w, p in points]
+        if expected[0] >= budget * (1 - tolerance):
+            return low
+        j = max(j for j, e in enumerate(expected) if e <= budget)
+        if j == width:
+            return high
+        (left, _, _), (right, _, _) = points[j], points[j + 1]
+        chord = left + (right - left) * (budget - expected[j]) / (expected[j + 1] - expected[j])
+        tangents = [(budget - w) / p for _, w, p in points if p > 0]
+        low, high = max(left, *(t for t in tangents if t <= right)), min(right, chord * (1 + 1e-12))
+        if high <= low * (1 + tolerance):
+            return low
 
 
 def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, power: float = 0.5,

@@ -235,3 +235,25 @@ def test_mixing_of_odd_rows(spark):
     assert mixing.mix(docs.limit(0)).collect() == [] == mixing.sampled(docs.limit(0)).collect()
     given = mixing.mix(docs, targets={"source": {"s": 0.25, mixing.MISSING: 0.75, "absent": 0.5}}).collect()
     assert len(given) == 5
+
+
+def test_scale_meets_budget_at_any_spread_of_ratios(spark):
+    rows = [(1000, 1e-40), (700, 3e-25), (500, 2e-9), (300, 0.4), (200, 1.0), (1, 5.0)]
+    cells = spark.createDataFrame(rows, "tokens long, ratio double")
+    for share in (1e-4, 0.1, 0.2, 0.5, 0.6, 0.9, 0.9999):
+        budget = share * sum(t for t, _ in rows)
+        k = mixing.scale_for(cells, budget)
+        assert sum(t * min(1.0, k * r) for t, r in rows) == pytest.approx(budget, rel=1e-6)
+    k = mixing.scale_for(cells, 2701.0)
+    assert all(k * r >= 1 for _, r in rows)
+    assert mixing.scale_for(cells, 0.0) == 0.0 == mixing.scale_for(cells.limit(0), 5.0)
+
+
+def test_mixing_meets_budget_where_targets_cannot_be_met(spark, monkeypatch):
+    texts = [(i, f"s{i % 4}", "fr" if i % 8 == 0 else "en", f"w{i} w{i + 1} a b c") for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, source string, lang string, text string")
+    far = lambda cells, targets, **_: {d: {c: 1e-33 if c in ("en", "s1") else 1.0 for c in targets[d]} for d in targets}
+    monkeypatch.setattr(mixing, "rake", far)
+    rows = mixing.mix(docs).collect()
+    assert sum(r["tokens"] * r["probability"] for r in rows) == pytest.approx(0.6 * 2000, rel=1e-6)
+    assert 200 < sum(r["kept"] for r in rows) < 280
