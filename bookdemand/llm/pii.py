@@ -9,9 +9,11 @@ that hold it), and contexts that nearly always hold an identifier mark further v
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +37,7 @@ EDGE = re.compile(r"[\s=]")
 TRIM = "\"'()[]{}<>.,;:!?"
 LONGEST_VALUE = 64
 CONTEXT_WINDOW = 200
+SIEVE_BITS = 26  # logarithm of the bits that tell contexts from other word pairs: 8 MB
 
 
 def luhn(digits: str) -> bool:
@@ -144,50 +147,72 @@ def _occurrences(docs: DataFrame) -> DataFrame:
         F.max("seed").alias("seed"), F.sum("n").alias("n"))
 
 
-def _frequencies(docs: DataFrame, patterns: Iterable[str]) -> DataFrame:
-    """(pattern, total): how often each context occurs around any word at all."""
-    wanted = frozenset(patterns)
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+def _slots(left: list[str], right: list[str]) -> np.ndarray:
+    """The bit of the sieve for each pair of words."""
+    a, b = (np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words)) for words in (left, right))
+    return ((a * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
+
+
+def _sieve(patterns: DataFrame) -> np.ndarray:
+    """A bit map of fixed size, in which the bit of every context is set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            split = [w for p in batch.column(0).to_pylist() if len(w := p[2:].split(" ")) == 2]
+            at = _slots([w[0] for w in split], [w[1] for w in split])
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 5), pa.array(np.int64(1) << (at & 31))], names=["at", "bits"])
+
+    found = patterns.select("pattern").mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(1 << (SIEVE_BITS - 5), np.uint32)
+    words[found.column("at").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
+    return words
+
+
+def _frequencies(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(pattern, total): how often each context of ``patterns`` occurs around any word at all.
+
+    A sieve of fixed size leaves out nearly all word pairs that are no context; what
+    passes is counted in Spark, and the join with ``patterns`` drops the rest.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_sieve(patterns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = {tuple(p[2:].split(" ")): p for p in shared.value if p[0] == "L"}
-        frames = {tuple(p[2:].split(" ")): p for p in shared.value if p[0] == "M"}
+        sieve = shared.value
         for batch in batches:
             seen: Counter = Counter()
             for text in batch.column(0):
                 words = ["^", *(text.as_py() or "").replace("=", "= ").lower().split(), "$"]
-                for known, columns in ((pairs, (words[:-2], words[1:-1])), (frames, (words, words[2:]))):
-                    if known:
-                        seen.update(known[x] for x in zip(*columns) if x in known)
-                if ("^",) in pairs and len(words) > 2:
-                    seen[pairs[("^",)]] += 1
+                for mark, left, right in (("L", words[:-2], words[1:-1]), ("M", words[:-2], words[2:])):
+                    at = _slots(left, right)
+                    for k in np.flatnonzero(sieve[at >> 5] >> (at & 31).astype(np.uint32) & 1):
+                        seen[f"{mark} {left[k]} {right[k]}"] += 1
+                if len(words) > 2:
+                    seen["L ^"] += 1
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["pattern", "total"])
 
-    return _slim(docs).mapInArrow(run, "pattern string, total long").groupBy("pattern").agg(F.sum("total").alias("total"))
+    passed = _slim(docs).mapInArrow(run, "pattern string, total long").groupBy("pattern").agg(F.sum("total").alias("total"))
+    return passed.join(patterns.select("pattern"), "pattern", "left_semi")
 
 
-def learn_contexts(docs: DataFrame, min_seeds: int = 3, max_patterns: int = 2000, rounds: int = 3,
-                   confidence: float = 0.5) -> list[str]:
+def learn_contexts(docs: DataFrame, min_seeds: int = 3, rounds: int = 3, confidence: float = 0.5) -> list[str]:
     """Contexts that hold an identifier at least ``confidence`` of the times they occur.
 
-    Only contexts of at least ``min_seeds`` different seeds are scored, and at least a
-    ``max_patterns``-th of all (context, seed) pairs, so that their number cannot exceed
-    ``max_patterns``.  All counts are over all rows.  No seeds: no contexts.
+    Contexts of at least ``min_seeds`` different seeds are scored, at every size of the
+    corpus; only those that pass come to the driver.  All counts are over all rows.
+    No seeds: no contexts.
     """
     graph = stored(_occurrences(docs), "contexts")
-    pairs = graph.where("seed").count()
-    support = max(min_seeds, -(-pairs // max_patterns))
-    induced = [r["pattern"] for r in graph.where("seed").groupBy("pattern").count().where(F.col("count") >= support).select("pattern").collect()]
-    if not induced:
+    induced = stored(graph.where("seed").groupBy("pattern").count().where(F.col("count") >= min_seeds).select("pattern"), "induced_contexts")
+    if induced.isEmpty():
         return []
     totals = stored(_frequencies(docs, induced), "context_totals")
-    edges = graph.join(F.broadcast(totals), "pattern")  # totals: at most max_patterns rows
+    edges = stored(graph.join(totals, "pattern"), "context_edges")
     score = edges.groupBy("value").agg(F.max(F.col("seed").cast("double")).alias("score"))
     for k in range(rounds):
         held = edges.join(stored(score, "value_scores"), "value")
         found = stored(held.groupBy("pattern").agg(
             F.least(F.lit(1.0), F.sum(F.col("n") * F.col("score")) / F.greatest(F.max("total"), F.sum("n"))).alias("trust")), "context_trust")
-        trusted = edges.join(F.broadcast(found), "pattern")
+        trusted = edges.join(found, "pattern")
         score = trusted.groupBy("value").agg(F.when(F.max("seed"), 1.0).otherwise(
             1 - F.exp(F.sum(F.log1p(-F.least(F.col("trust"), F.lit(1 - 1e-9)))))).alias("score"))
     return sorted(r["pattern"] for r in found.where(F.col("trust") >= confidence).select("pattern").collect())

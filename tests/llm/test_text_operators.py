@@ -194,6 +194,24 @@ def test_contexts_find_unseen_identifiers(spark):
     assert pii.learn_contexts(docs.limit(0)) == []
 
 
+def test_rare_contexts_are_scored_in_a_large_corpus(spark):
+    rows = [f"kontakt adresse: user{k}@mail.example.com ende" for k in range(4)]
+    rows += [f"kontakt adresse: zz-{k}77431 ende" for k in range(2)]
+    rows += [f"see p{k} q{k} u{k}@mail.example.com r{k}" for k in range(9000)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "doc_id long, text string")
+    contexts = pii.learn_contexts(docs)
+    assert {"L kontakt adresse:", "M adresse: ende"} <= set(contexts)
+    assert "id:" in pii.find(docs.where("doc_id = 4"), contexts).first()["spans"]
+
+
+def test_context_totals_are_exact(spark):
+    texts = ["a b c a b", "b", "x a b = c", "", None, "a c a c"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    wanted = spark.createDataFrame([(p,) for p in ("L a b", "M a c", "M ^ $", "L ^", "M c $", "L never seen")], "pattern string")
+    got = {r["pattern"]: r["total"] for r in pii._frequencies(docs, wanted).collect()}
+    assert got == {"L a b": 3, "M a c": 1, "M ^ $": 1, "L ^": 4}
+
+
 def test_pii_of_odd_texts(odd):
     assert len(pii.find(odd).collect()) == odd.count()
     assert pii.redact(odd).columns == odd.columns
