@@ -8,6 +8,7 @@ that hold it), and contexts that nearly always hold an identifier mark further v
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections import Counter
@@ -35,7 +36,7 @@ DIGIT = re.compile(r"[0-9]")
 MARK = re.compile(r"[0-9@]+")
 EDGE = re.compile(r"[\s=]")
 TRIM = "\"'()[]{}<>.,;:!?"
-LONGEST_VALUE = 64
+LONGEST_NAME = 64  # of a value in the graph; a digest stands for longer ones
 CONTEXT_WINDOW = 200
 SIEVE_BITS = 26  # logarithm of the bits that tell contexts from other word pairs: 8 MB
 
@@ -94,24 +95,22 @@ def words_around(text: str, start: int, end: int) -> tuple[str, str]:
 
 
 def candidates(text: str, taken: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
-    """Identifier-like values outside the spans in ``taken``: a word of 6 to 64 characters
-    with at least three digits or an @, edge punctuation left off."""
+    """Identifier-like values outside the spans in ``taken``: a whole word of at least 6
+    characters with at least three digits or an @, edge punctuation left off."""
     spans = sorted((a, b) for _, a, b in taken)
-    last, k, n = -1, 0, len(text)
+    last, k, n = 0, 0, len(text)
     for m in MARK.finditer(text):
         if m.start() < last:
             continue
-        start, end = m.start(), m.end()
-        floor, ceiling = max(0, last, start - LONGEST_VALUE - 1), min(n, end + LONGEST_VALUE + 1)
-        while start > floor and not EDGE.match(text[start - 1]):
+        start = m.start()
+        while start > last and not EDGE.match(text[start - 1]):
             start -= 1
-        while end < ceiling and not EDGE.match(text[end]):
-            end += 1
-        last = end
+        edge = EDGE.search(text, m.end())
+        last = end = edge.start() if edge else n
         word = text[start:end]
         start, end = start + len(word) - len(word.lstrip(TRIM)), end - (len(word) - len(word.rstrip(TRIM)))
         value = text[start:end]
-        if not 6 <= len(value) <= LONGEST_VALUE or not ("@" in value or len(DIGIT.findall(value)) >= 3):
+        if len(value) < 6 or not ("@" in value or len(DIGIT.findall(value)) >= 3):
             continue
         while k < len(spans) and spans[k][1] <= start:
             k += 1
@@ -119,6 +118,12 @@ def candidates(text: str, taken: list[tuple[str, int, int]]) -> Iterator[tuple[i
             yield start, end
 
 
+def _name(value: str) -> str:
+    """What stands for a value in the graph: itself, or a digest if it is long."""
+    value = value.lower()
+    return value if len(value) <= LONGEST_NAME else hashlib.sha256(value.encode("utf-8", "surrogatepass")).hexdigest()
+
+
 def _slim(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("text").cast("string").alias("text"))
 
@@ -135,8 +140,9 @@ def _occurrences(docs: DataFrame) -> DataFrame:
                 base = base_spans(value)
                 places = [(a, b, True) for _, a, b in base] + [(a, b, False) for a, b in candidates(value, base)]
                 for a, b, seed in places:
+                    name = _name(value[a:b])
                     for pattern in words_around(value, a, b):
-                        seen[pattern, value[a:b].lower(), seed] += 1
+                        seen[pattern, name, seed] += 1
             rows = list(seen.items())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k, _ in rows], pa.string()), pa.array([k[1] for k, _ in rows], pa.string()),

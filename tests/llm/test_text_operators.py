@@ -212,6 +212,15 @@ def test_context_totals_are_exact(spark):
     assert got == {"L a b": 3, "M a c": 1, "M ^ $": 1, "L ^": 4}
 
 
+def test_long_identifiers_are_taken_whole():
+    key = "k" * 70 + "4711" + "x" * 80 + "0815" + "y" * 90 + "99"
+    for text in (f"my api key: {key} end", f"my api key: ({key}), end", f"my api key: {key}"):
+        spans = pii.all_spans(text, frozenset(["L api key:"]))[1]
+        assert [text[a:b] for _, a, b in spans] == [key]
+        assert pii.hide(text, spans) == text.replace(key, "[ID]")
+    assert list(pii.candidates("token=" + "z" * 100 + " 12 a=12345678", [])) == [(112, 120)]
+
+
 def test_pii_of_odd_texts(odd):
     assert len(pii.find(odd).collect()) == odd.count()
     assert pii.redact(odd).columns == odd.columns
