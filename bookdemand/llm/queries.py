@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookdemand.llm import bpe, html_crf, mixing, near_embed, pii, quality, simhash, topk, toxicity, warc
+from bookdemand.llm import bpe, html_crf, merkle, mixing, near_embed, pii, quality, simhash, topk, toxicity, warc
 from bookdemand.llm.base import remainder_of_crc, stored, table
 from bookdemand.session import scratch_path
 
@@ -141,3 +141,60 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder_of_crc("doc_id", 3) == 1
     return toxicity.score(docs.select("doc_id", "text"), grammar).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.col("doc_id").isNotNull() & (remainder_of_crc("doc_id", 2) == 0)
+    shown = F.when(tampered, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    manifest = merkle.document_manifest(docs, shown)
+    found = merkle.proofs(manifest, manifest.leaves)
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.path_text(F.col("path")), 256).alias("proof_sha256"),
+                        merkle.folded(F.col("shown"), F.col("path")).alias("folded_root")).withColumn(
+                            "verified", F.col("folded_root") == F.col("root"))
+
+
+def _merkle_levels(prefix: str, nodes: str, leaves: str, levels: int) -> str:
+    """CTEs that hash ``nodes`` (tree, idx, n, digest) level by level and fold ``leaves``
+    (key, tree, idx, cur, proof) along; the last are {prefix}n{levels} and {prefix}w{levels}."""
+    out, n, w = [], nodes, leaves
+    for k in range(1, levels + 1):
+        out.append(f"""{prefix}n{k} AS MATERIALIZED (
+  SELECT tree, idx // 3 AS idx, (max(n) + 2) // 3 AS n, CASE WHEN max(n) > 1 THEN sha256(string_agg(digest, '' ORDER BY idx)) ELSE min(digest) END AS digest
+  FROM {n} GROUP BY tree, idx // 3
+), {prefix}w{k} AS MATERIALIZED (
+  SELECT w.key, w.tree, w.idx // 3 AS idx,
+         CASE WHEN max(s.n) > 1 THEN sha256(coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (s.idx < w.idx), '') || w.cur
+              || coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (s.idx > w.idx), '')) ELSE w.cur END AS cur,
+         w.proof || coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (s.idx <> w.idx), '') AS proof
+  FROM {w} w JOIN {n} s ON w.tree = s.tree AND w.idx // 3 = s.idx // 3 GROUP BY w.key, w.tree, w.idx, w.cur, w.proof
+)""")
+        n, w = f"{prefix}n{k}", f"{prefix}w{k}"
+    return ",\n".join(out)
+
+
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+
+def _leaf_sql(text: str) -> str:
+    values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values) + ")"
+
+
+# levels for up to 3^14 documents of a source and 3^9 sources
+ORACLE_SQL["op12_merkle"] = f"""
+WITH leaves AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf_sql("text")} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {_CRC32} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS shown
+  FROM documents
+), l0 AS MATERIALIZED (
+  SELECT row_number() OVER () AS key, *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+), sn0 AS (SELECT tree, idx, n, leaf AS digest FROM l0), sw0 AS (SELECT key, tree, idx, shown AS cur, '' AS proof FROM l0),
+{_merkle_levels("s", "sn0", "sw0", 14)}, t0 AS MATERIALIZED (
+  SELECT tree AS source_tree, '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n, digest FROM sn14
+), tw0 AS (SELECT w.key, t.tree, t.idx, w.cur, w.proof FROM sw14 w JOIN t0 t ON w.tree = t.source_tree),
+{_merkle_levels("t", "t0", "tw0", 9)}
+SELECT l.doc_id, l.leaf, t0.digest AS subroot, r.digest AS root, sha256(w.proof) AS proof_sha256, w.cur AS folded_root, w.cur = r.digest AS verified
+FROM l0 l JOIN t0 ON l.tree = t0.source_tree JOIN tw9 w USING (key) CROSS JOIN tn9 r"""
