@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookdemand.llm import bpe, html_crf, merkle, mixing, near_embed, pii, quality, simhash, topk, toxicity, warc
+from bookdemand.llm import alignment, bpe, html_crf, merkle, mixing, near_embed, pii, quality, simhash, topk, toxicity, warc
 from bookdemand.llm.base import remainder_of_crc, stored, table
 from bookdemand.session import scratch_path
 
@@ -143,6 +143,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), a, b).drop("groups")
+
+
 @query
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
