@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookdemand.llm import alignment, bpe, html_crf, merkle, mixing, near_embed, pii, quality, simhash, topk, toxicity, warc
+from bookdemand.llm import alignment, bpe, html_crf, merkle, mixing, near_embed, pii, quality, secrets, simhash, topk, toxicity, warc
 from bookdemand.llm.base import remainder_of_crc, stored, table
 from bookdemand.session import scratch_path
 
@@ -206,3 +206,9 @@ WITH leaves AS MATERIALIZED (
 {_merkle_levels("t", "t0", "tw0", 9)}
 SELECT l.doc_id, l.leaf, t0.digest AS subroot, r.digest AS root, sha256(w.proof) AS proof_sha256, w.cur AS folded_root, w.cur = r.digest AS verified
 FROM l0 l JOIN t0 ON l.tree = t0.source_tree JOIN tw9 w USING (key) CROSS JOIN tn9 r"""
+
+
+@query
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_confirmed")
