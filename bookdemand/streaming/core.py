@@ -9,11 +9,13 @@ State and output live under the shared checkpoint folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import threading
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType, TimestampNTZType
 
 from bookdemand.operators.ranking import top_n_per_group
@@ -203,27 +205,72 @@ def ranking_upsert_sink(
     return write
 
 
-def land_in_order(df: DataFrame, path: str, time_col: str, *, rows_per_file: int = 500_000, least_files: int = 4) -> int:
-    """Write ``df`` as parquet files that a file stream takes in event-time
-    order: rows are range-partitioned by ``time_col``, and the files' times
-    follow their ranges.  Returns the number of files planned."""
-    spark = df.sparkSession
-    files = max(least_files, -(-df.count() // rows_per_file))
-    df.repartitionByRange(files, time_col).sortWithinPartitions(time_col).write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    parts = sorted((s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")),
-                   key=lambda p: p.getName())
-    for k, part in enumerate(parts):
-        fs.setTimes(part, 1_700_000_000_000 + 1000 * k, -1)
-    return files
-
-
-def dropped_rows(query: StreamingQuery) -> int:
-    """Rows that came after the watermark had passed them, over the query's recent batches."""
-    return sum(int(op.get("numRowsDroppedByWatermark", 0) or 0)
-               for p in query.recentProgress for op in (p.get("stateOperators") or []))
+class LateRows(StreamingQueryListener):
+    """Counts the rows that stateful operators drop as late, over all batches of a query
+    (``recentProgress`` keeps the last hundred only)."""
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self.dropped[run] = self.dropped.get(run, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.setdefault(str(event.runId), threading.Event()).set()
+
+    def of(self, query: StreamingQuery, timeout: float = 120.0) -> int:
+        """Rows dropped by ``query``, which must have ended; its events come in order, its end last."""
+        run = str(query.runId)
+        if not self.ended.setdefault(run, threading.Event()).wait(timeout):
+            raise RuntimeError("the query's progress did not arrive")
+        return self.dropped.get(run, 0)
+
+
+@contextmanager
+def late_rows(spark: SparkSession) -> Iterator[LateRows]:
+    """A counter of late rows for the queries that run inside."""
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    try:
+        yield listener
+    finally:
+        spark.streams.removeListener(listener)
+
+
+def run_to_end(
+    stream: DataFrame,
+    checkpoint: str,
+    *,
+    sink_path: str | None = None,
+    foreach_batch: Callable[[DataFrame, int], None] | None = None,
+    output_mode: str = "append",
+) -> StreamingQuery:
+    """Process what a topic holds now, batch after batch, then stop.
+
+    For sources that bound their own micro-batches (:mod:`bookdemand.sources.segments`);
+    batches without data run too, so that timers fire."""
+    writer = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+    if foreach_batch is not None:
+        writer = writer.foreachBatch(foreach_batch)
+    else:
+        writer = writer.format("parquet").option("path", sink_path)
+    query = writer.trigger(processingTime="0 seconds").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return query
 
 
 def run_available_now(

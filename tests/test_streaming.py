@@ -166,18 +166,21 @@ def test_store_sink_replays_by_batch_id(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/store").groupBy("batch_id").count().orderBy("batch_id").collect() == [(0, 2), (1, 2)]
 
 
-def test_one_and_many_batches_agree(spark, tmp_path):
-    from bookdemand.streaming.core import dropped_rows, land_in_order
+def test_one_and_many_batches_agree_and_late_rows_are_counted(spark, tmp_path):
+    from bookdemand.sources.segments import publish_topic, topic_bytes, topic_stream
+    from bookdemand.streaming.core import late_rows, run_to_end
 
     rows = [(k, t(0) + dt.timedelta(minutes=37 * ((k * 7919) % 500)), k % 5, float(k)) for k in range(500)]
     df = spark.createDataFrame(rows, SCHEMA)
     found = []
-    for files in (1, 9):
-        src = str(tmp_path / f"in{files}")
-        assert land_in_order(df, src, "ts", least_files=files) == files
-        stream = as_event_time(file_stream(spark, src, df.schema, max_files_per_trigger=1), "ts")
-        agg = windowed_demand(stream, time_col="ts", key="user_id", value_col="value", size="6 hours", watermark="1 hour")
-        q = run_available_now(agg, str(tmp_path / f"ck{files}"), sink_path=str(tmp_path / f"out{files}"))
-        assert dropped_rows(q) == 0
-        found.append(sorted(map(tuple, spark.read.parquet(str(tmp_path / f"out{files}")).collect())))
-    assert found[0] == found[1] and found[0]
+    for order, batches in (("ts", 1), ("ts", 9), ("event_id", 9)):
+        base = f"{tmp_path}/{order}{batches}"
+        publish_topic(df, f"{base}/topic", key=F.lit(0), order=[F.col(order)], partitions=1, segment_rows=20)
+        stream = topic_stream(spark, f"{base}/topic", max_bytes=topic_bytes(f"{base}/topic") // batches, position=f"{base}/at")
+        agg = windowed_demand(as_event_time(stream, "ts"), time_col="ts", key="user_id", value_col="value", size="6 hours", watermark="1 hour")
+        with late_rows(spark) as counter:
+            q = run_to_end(agg, f"{base}/ck", sink_path=f"{base}/out")
+            late = counter.of(q)
+        assert (late > 0) == (order == "event_id")
+        found.append(sorted(map(tuple, spark.read.parquet(f"{base}/out").collect())))
+    assert found[0] == found[1] and found[0] and found[2] != found[0]
