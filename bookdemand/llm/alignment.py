@@ -19,10 +19,12 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +33,13 @@ from tokenizers import Tokenizer
 from bookdemand.llm.base import stored
 from bookdemand.llm.bpe import pack, ragged, unpack
 
-CUT = re.compile(r"(?<=\S)(?= )")
+CUT = re.compile(r"(?<=\S)(?=[ \n])")
+# A's word pattern (a fixed value of byte-level tokenizers), and the characters whose letter,
+# number and white-space classes are the same in every Unicode version the libraries carry.
+WORDS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+SETTLED = re.compile("[\\x00-\u024f]*")
+SHORT = 200  # longer chunks go to B itself, whose time grows more slowly with their length
+CHUNKS_KEPT = 400_000  # of one task, from block to block
 PART_CHARS = 1 << 20  # characters that are aligned together
 WIDE = 1 << 16  # links from which a group's equal tokens are counted before they are paired
 DOC_ROWS, PAIR_ROWS = 256, 100_000
@@ -60,31 +68,70 @@ class Pair:
         for name, k in names.items():
             self.a_bytes[k] = bytes(alphabet.get(c, 63) for c in name)
         n = self.b.get_piece_size()
-        self.b_bytes = [bytes([int(self.b.id_to_piece(k)[1:-1], 16)]) if self.b.is_byte(k)
-                        else self.b.id_to_piece(k).replace("▁", " ").encode() for k in range(n)]
+        pieces = [self.b.id_to_piece(k) for k in range(n)]
+        self.b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         # decimal ids with the mark that follows them: inside a list, and at its end
         self.a_text, self.b_text = (np.array([b"%d%s" % (k, end) for end in (b",", last) for k in range(len(t))], object)
                                     for t, last in ((self.a_bytes, b"|"), (self.b_bytes, b";")))
         steps = json.loads(self.a.to_str())
         plain = steps["pre_tokenizer"] or {}
-        # A text may be cut before a blank that follows no white space if A splits words
-        # there and B has no piece that goes across; else texts stay whole.
-        self.cuts = (steps["normalizer"] is None and plain.get("type") == "ByteLevel" and plain.get("use_regex") and not plain.get("add_prefix_space")
-                     and not any("▁" in self.b.id_to_piece(k).lstrip("▁") for k in range(n)))
+        bytewise = (steps["normalizer"] is None and plain.get("type") == "ByteLevel" and plain.get("use_regex") and not plain.get("add_prefix_space")
+                    and set(alphabet) <= set(names))
+        # A text may be cut before a blank or line end that follows no white space if A splits
+        # words there and B has no piece that goes across; else texts stay whole.
+        self.cuts = bytewise and not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
         self.blank = self.b.encode("a ")[len(self.b.encode("a")):]
+        self.fast = self._ranked(steps["model"]) if bytewise else None
+        self.fast_b = self._scored(pieces) if self.cuts else None
+
+    def _ranked(self, model: dict) -> tiktoken.Encoding | None:
+        """A as an encoder by ranks, if its merges stand in the order of their ids."""
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        ids = [model["vocab"]["".join(m)] for m in merges]
+        single = [model["vocab"][c] for c in byte_alphabet()]
+        if ids != sorted(set(ids)) or max(single) >= ids[0]:
+            return None
+        ranks = {self.a_bytes[k]: k for k in [*single, *ids]}
+        return tiktoken.Encoding("a", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    def _scored(self, pieces: list[str]) -> tiktoken.Encoding | None:
+        """B as an encoder by ranks for texts of single-byte characters and single blanks, if its
+        scores fall with its ids.  B merges characters where the ranked encoder merges bytes, and
+        runs of blanks out of turn, so the two agree only there."""
+        plain = [k for k in range(len(pieces)) if not (self.b.is_byte(k) or self.b.is_control(k) or self.b.is_unknown(k) or pieces[k].startswith("▁▁"))]
+        scores = [self.b.get_score(k) for k in plain if len(pieces[k]) > 1]
+        if any(self.b.is_unused(k) for k in plain) or any(x <= y for x, y in zip(scores, scores[1:])) or self.blank != [self.b.piece_to_id("▁")]:
+            return None
+        ranks = {self.b_bytes[k]: k for k in range(len(pieces)) if self.b.is_byte(k)} | {self.b_bytes[k]: k for k in plain}
+        return tiktoken.Encoding("b", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
 
     def chunks(self, text: str) -> list[str]:
-        """Parts of blank + text, each starting with a blank; both tokenizers cut between them."""
+        """Parts of blank + text, each starting with a blank or line end; both tokenizers cut between them."""
         return CUT.split(" " + text) if self.cuts else [" " + text]
 
-    def encode(self, chunks: list[str]) -> Iterator[tuple[list[int], list[int], bool]]:
-        """A's ids, B's ids, and whether both join to the chunk's bytes."""
-        found = zip(chunks, self.a.encode_batch_fast(chunks, add_special_tokens=False), self.b.encode([c[1:] for c in chunks], num_threads=1))
-        for chunk, a, b in found:
-            ids, b = a.ids, self.blank if chunk == " " else b
-            data = chunk.encode()
-            yield ids, b, b"".join(map(self.a_bytes.__getitem__, ids)) == data and b"".join(map(self.b_bytes.__getitem__, b)) == data
+    def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]], list[str]]:
+        """A's ids, B's ids of each chunk, and the chunks that do not join to their bytes again."""
+        if self.fast is not None:
+            settled, run = SETTLED.fullmatch, self.fast.encode_ordinary
+            a = [run(c) if settled(c) else None for c in chunks]
+            rest = [k for k, ids in enumerate(a) if ids is None]
+        else:
+            a, rest = [None] * len(chunks), list(range(len(chunks)))
+        for k, e in zip(rest, self.a.encode_batch_fast([chunks[k] for k in rest], add_special_tokens=False)):
+            a[k] = e.ids
+        if self.fast_b is not None:
+            run = self.fast_b.encode_ordinary
+            b = [run(c) if c.isascii() and len(c) <= SHORT and "  " not in c else None for c in chunks]
+            rest = [k for k, ids in enumerate(b) if ids is None]
+        else:
+            b, rest = [None] * len(chunks), list(range(len(chunks)))
+        for k, ids in zip(rest, self.b.encode([c[1:] if c[0] == " " else c for c in map(chunks.__getitem__, rest)], num_threads=1)):
+            # the blank that B adds stands alone before a line end
+            b[k] = ids[1:] if chunks[k][0] == "\n" else self.blank if chunks[k] == " " else ids
+        piece, token = self.b_bytes.__getitem__, self.a_bytes.__getitem__
+        wrong = [c for c, x, y in zip(chunks, a, b) if (data := c.encode()) != b"".join(map(piece, y)) or self.fast is None and data != b"".join(map(token, x))]
+        return a, b, wrong
 
 
 class Lists:
@@ -93,9 +140,9 @@ class Lists:
     def __init__(self) -> None:
         self.flat, self.size = array("i"), array("i")
 
-    def add(self, values: list[int]) -> None:
-        self.flat.extend(values)
-        self.size.append(len(values))
+    def add(self, lists: list[list[int]]) -> None:
+        self.flat.extend(chain.from_iterable(lists))
+        self.size.extend(map(len, lists))
 
     def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The lists numbered ``at`` one after another, and their sizes."""
@@ -103,14 +150,37 @@ class Lists:
         return ragged(np.array(self.flat, np.int64), np.cumsum(size) - size, size, at), size[at]
 
 
+class Chunks:
+    """Chunks that a task has met: each is encoded once, until there are many."""
+
+    def __init__(self, pair: Pair) -> None:
+        self.pair, self.number = pair, {}
+        self.a, self.b = Lists(), Lists()
+        self.unsound: set[str] = set()
+
+    def numbers(self, chunks: list[str]) -> np.ndarray | None:
+        """The chunks' numbers, or None if one of them does not keep its bytes."""
+        fresh = [c for c in dict.fromkeys(chunks) if c not in self.number]
+        if fresh:
+            a, b, wrong = self.pair.encode(fresh)
+            self.number.update(zip(fresh, range(len(self.number), len(self.number) + len(fresh))))
+            self.a.add(a)
+            self.b.add(b)
+            self.unsound.update(wrong)
+        if self.unsound and not self.unsound.isdisjoint(chunks):
+            return None
+        return np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
+
+
 def groups(a_ends: np.ndarray, b_ends: np.ndarray, a_first: np.ndarray, b_first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where groups start, in A's and in B's tokens.
 
     ``a_ends`` and ``b_ends`` are rising byte offsets at which tokens end; token number
     ``a_first[k]`` (``b_first[k]``) starts the k-th interval, and the intervals' ends are common."""
-    at = np.minimum(np.searchsorted(b_ends, a_ends), len(b_ends) - 1)
-    places = np.arange(len(a_ends))
-    common = b_ends[at] == a_ends
+    ended = np.zeros(int(a_ends[-1]) + 1 if len(a_ends) else 1, np.int32)
+    ended[b_ends] = 1
+    places, common = np.arange(len(a_ends)), ended[a_ends] == 1
+    at = np.cumsum(ended, dtype=np.int64)[a_ends] - 1  # B's token that ends there, where the end is common
     before = np.maximum.accumulate(np.where(common, places, -1))
     after = np.minimum.accumulate(np.where(common, places, len(places))[::-1])[::-1]
     lo, hi, start = a_first, np.append(a_first[1:], len(a_ends)), b_first
@@ -126,7 +196,8 @@ def groups(a_ends: np.ndarray, b_ends: np.ndarray, a_first: np.ndarray, b_first:
         done_b.append(start[whole])
         cut = np.where(near_left, left, right)[~whole]
         lo, hi, start = lo[~whole], hi[~whole], start[~whole]
-        lo, hi, start = np.concatenate([lo, cut + 1]), np.concatenate([cut + 1, hi]), np.concatenate([start, at[cut] + 1])
+        # both halves side by side: intervals stay in order, which the next bisection likes
+        lo, hi, start = np.stack([lo, cut + 1], 1).ravel(), np.stack([cut + 1, hi], 1).ravel(), np.stack([start, at[cut] + 1], 1).ravel()
     a_start = np.concatenate(done_a) if done_a else a_first
     order = np.argsort(a_start)
     return a_start[order], np.concatenate(done_b)[order] if done_b else b_first
@@ -175,11 +246,8 @@ class Document:
 class Block:
     """Documents of one partition until about ``limit`` characters are together."""
 
-    def __init__(self, pair: Pair, keep: bool) -> None:
-        self.pair, self.keep = pair, keep
-        self.number: dict[str, int] = {}
-        self.a, self.b = Lists(), Lists()
-        self.unsound: set[str] = set()
+    def __init__(self, known: Chunks, keep: bool) -> None:
+        self.known, self.keep, pair = known, keep, known.pair
         self.docs: list[Document] = []
         self.parts: list[tuple[Document, np.ndarray]] = []
         self.chars = self.waiting = 0
@@ -191,17 +259,10 @@ class Block:
         self.chars += len(text or "") + 200
         if not text:
             return
-        chunks = self.pair.chunks(text)
-        fresh = [c for c in dict.fromkeys(chunks) if c not in self.number]
-        for chunk, (a, b, sound) in zip(fresh, self.pair.encode(fresh)):
-            self.number[chunk] = len(self.number)
-            self.a.add(a)
-            self.b.add(b)
-            if not sound:
-                self.unsound.add(chunk)
-        if self.unsound and not self.unsound.isdisjoint(chunks):
+        chunks = self.known.pair.chunks(text)
+        at = self.known.numbers(chunks)
+        if at is None:
             return
-        at = np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
         length = np.cumsum([len(c) for c in chunks])
         for piece in np.split(at, np.searchsorted(length, np.arange(PART_CHARS, length[-1], PART_CHARS))):
             if len(piece):
@@ -217,7 +278,7 @@ class Block:
         docs, pieces = zip(*self.parts)
         self.parts, self.waiting = [], 0
         at, piece_ends = np.concatenate(pieces), np.cumsum([len(p) for p in pieces])
-        (a, a_n), (b, b_n) = self.a.take(at), self.b.take(at)
+        (a, a_n), (b, b_n) = self.known.a.take(at), self.known.b.take(at)
         a_first, b_first = (np.concatenate([[0], np.cumsum(n)[piece_ends - 1]]) for n in (a_n, b_n))
         a_start, b_start = groups(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), a_first[:-1], b_first[:-1])
         a_group, b_group = (np.repeat(np.arange(len(s)), np.diff(np.append(s, len(t)))) for s, t in ((a_start, a), (b_start, b)))
@@ -271,14 +332,16 @@ def aligned_blocks(docs: DataFrame, a_path: str, b_path: str, block_chars: int =
                         *((c, pa.int32()) for c in ("a", "b", "place", "n"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, turn, block = Pair(a_path, b_path), TaskContext.get().partitionId() << 32, None
+        known, turn, block = Chunks(Pair(a_path, b_path)), TaskContext.get().partitionId() << 32, None
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                block = block or Block(pair, keep_groups)
+                block = block or Block(known, keep_groups)
                 block.add(doc_id, text.as_py())
                 if block.chars >= block_chars:
                     yield from block.close(turn, schema)
                     turn, block = turn + 1, None
+                    if len(known.number) > CHUNKS_KEPT:
+                        known = Chunks(known.pair)
         if block:
             yield from block.close(turn, schema)
 

@@ -44,11 +44,14 @@ def plain_tokens(text):
 
 
 def plain_groups(a, b):
-    shared = sorted({e for _, e in a} & {e for _, e in b})
-    out, start = [], 0
+    out, shared, i, j = [], sorted({e for _, e in a} & {e for _, e in b}), 0, 0
     for end in shared:
-        out.append(([k for k, e in a if start < e <= end], [k for k, e in b if start < e <= end]))
-        start = end
+        xs, ys = [], []
+        while i < len(a) and a[i][1] <= end:
+            xs, i = xs + [a[i][0]], i + 1
+        while j < len(b) and b[j][1] <= end:
+            ys, j = ys + [b[j][0]], j + 1
+        out.append((xs, ys))
     return out
 
 
@@ -87,13 +90,27 @@ def test_query_equals_the_plain_version(spark):
     assert sorted(map(tuple, got.collect())) == sorted(r[:-1] for r in plain(rows))
 
 
+def test_ranked_encoders_equal_the_libraries(spark):
+    pair, pick, chunks = alignment.Pair(A, B), random.Random(1), set()
+    assert pair.fast and pair.fast_b and pair.cuts
+    for r in table(spark, SF001, "documents").where("text is not null").select("text").collect():
+        chunks.update(pair.chunks(r["text"]))
+    letters = "abcde  '\n\t\x00\x7fABthin0123.,<>|é"
+    for _ in range(20_000):
+        chunks.add(pick.choice([" ", "\n", "  "]) + "".join(pick.choice(letters) for _ in range(pick.randrange(25))))
+    chunks = sorted(chunks)
+    quick = pair.encode(chunks)
+    pair.fast = pair.fast_b = None
+    assert pair.encode(chunks) == quick
+
+
 def test_long_texts_in_parts(spark, monkeypatch):
     pick = random.Random(3)
     text = " ".join(pick.choice([t for t in ODD_TEXTS[4:] if "▁" not in t]) for _ in range(60))
     pair, whole = alignment.Pair(A, B), []
     for size in (1 << 20, 500):
         monkeypatch.setattr(alignment, "PART_CHARS", size)
-        block = alignment.Block(pair, True)
+        block = alignment.Block(alignment.Chunks(pair), True)
         block.add(1, text)
         block.add(2, "a " + text)
         block.align()
