@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -15,7 +16,7 @@ from bookdemand.llm import bpe, pii, quality, toxicity
 from bookdemand.llm.base import remainder_of_crc, table, training_sample
 from bookdemand.llm.queries import QUERIES, tokenizer_path
 
-from conftest import SF001
+from conftest import SF001, SF01
 
 ODD_TEXTS = [
     None, "", " \t\n ", "a", "é", "Hi <|endoftext|> ΣΑΣ İ é é K <|ENDOFTEXT|>", "it's A.B. c's 12 'S", "<|startoftext|><|endoftext|>",
@@ -161,7 +162,14 @@ def test_base_spans_equal_the_plain_patterns():
 
 def test_base_spans_of_long_runs_are_quick():
     for text in ("a" * 300_000, "1" * 300_000, "a@" * 100_000, "1." * 100_000, "+1(" * 100_000, "a@b" * 100_000):
-        pii.all_spans(text, frozenset(["L x y"]))
+        base = pii.base_spans(text)
+        for a, b in pii.candidates(text, base):
+            pii.words_around(text, a, b)
+
+
+def test_numbers_of_any_length_are_compared():
+    for digits in ("0" * 5000 + "1.1.1.1", "1" * 5000 + ".1.1.1", "0.0.0.0", "00256.1.1.1", "000255.0.0.255"):
+        assert [s[0] for s in pii.base_spans("x " + digits) if s[0] == "ip"] == ([] if digits[:3] in ("111", "002") else ["ip"])
 
 
 def test_pii_query(spark):
@@ -176,49 +184,132 @@ def test_pii_query(spark):
         assert r["spans"].startswith(joined)
 
 
+def patterns(contexts):
+    return {r["pattern"] for r in contexts.collect()}
+
+
+def plain_contexts(texts, min_seeds, rounds, hidden):
+    """Contexts and their trust by loops over whole words; ``hidden`` tells masked seeds."""
+    words = [[w for w in t.replace("=", "= ").lower().split()] if t else [] for t in texts]
+
+    def around(ws, i):
+        left = ws[i - 1] if i else "^"
+        out = [f"L {ws[i - 2]} {left}" if i > 1 else f"L {left}", f"M {left} {ws[i + 1] if i + 1 < len(ws) else '$'}"]
+        return out + [f"W {left}"] if any(c.isalpha() for c in left) else out
+
+    totals, graph = Counter(), Counter()
+    seeds = set()
+    for text, ws in zip(texts, words):
+        for i in range(len(ws)):
+            totals.update(around(ws, i))
+        base = plain_spans(text)
+        places = [(a, b, True) for _, a, b in base] + [(a, b, bool(pii.HEX_DIGEST.fullmatch(text, a, b))) for a, b in pii.candidates(text or "", base)]
+        for a, b, seed in places:
+            i = len((text[:a] + "x").replace("=", "= ").split()) - 1
+            n = len(text[a:b].replace("=", "= ").split())
+            value = text[a:b].lower()
+            if seed:
+                seeds.add(value)
+            ctx = around(ws, i)
+            right = f"M {ws[i - 1] if i else '^'} {ws[i + n] if i + n < len(ws) else '$'}"
+            for p in [ctx[0], right, *ctx[2:]]:
+                graph[p, value] += 1
+    shown, masked = Counter(), Counter()
+    for p, v in graph:
+        if v in seeds:
+            (masked if hidden(v) else shown)[p] += 1
+    keep = {p for p in shown if shown[p] >= min_seeds}
+    score = {v: float(v in seeds and not hidden(v)) for _, v in graph}
+    trust = {}
+    for _ in range(rounds):
+        trust = {p: min(1.0, sum(n * score[v] for (q, v), n in graph.items() if q == p) / max(totals[p], sum(n for (q, _), n in graph.items() if q == p))) for p in keep}
+        fresh = {}
+        for p, v in graph:
+            if p in keep:
+                fresh.setdefault(v, []).append(min(trust[p], 1 - 1e-9))
+        score = {v: 1.0 if v in seeds and not hidden(v) else 1 - float(np.prod([1 - t for t in ts])) for v, ts in fresh.items()} | {
+            v: 0.0 for v in score if v not in fresh}
+    return {p: (trust[p], shown[p], masked[p]) for p in keep}
+
+
+def test_scores_equal_a_plain_version(spark):
+    r = random.Random(5)
+    word = lambda: r.choice(["der", "la", "of", "in", "kind,", "=", "ab=cd"])
+    rows = [" ".join(word() for _ in range(r.randrange(4)))
+            + r.choice([" mail: {}", " key = \"{}\"", " see {}", "{}", " ({}) end"]).format(
+                r.choice([f"u{k % 37}@mail.example.com", f"{k:032x}ab"[-32:], f"10.0.{k % 9}.{k % 7}", f"zz-{k}7743", "plainword"])) + r.choice(["", " of", " in la"])
+            for k in range(400)] + [None, "", " "]
+    docs = spark.createDataFrame([(t,) for t in rows], "text string")
+    values = {v.lower() for t in rows if t for _, a, b in plain_spans(t) for v in [t[a:b]]} | {t[a:b].lower() for t in rows if t for a, b in pii.candidates(t, plain_spans(t))}
+    flags = {x["v"]: x["m"] for x in spark.createDataFrame([(v,) for v in values], "v string").select("v", pii.masked(F.col("v")).alias("m")).collect()}
+    want = plain_contexts(rows, 3, 3, flags.__getitem__)
+    got = {x["pattern"]: (x["trust"], x["shown"], x["hidden"]) for x in pii.scored_contexts(docs)[0].collect()}
+    assert set(got) == set(want) and len(want) > 8
+    for p, (trust, *counts) in want.items():
+        assert got[p][0] == pytest.approx(trust) and list(got[p][1:]) == counts, p
+
+
 def test_contexts_find_unseen_identifiers(spark):
     r = random.Random(3)
     word = lambda: "".join(r.choice("aeioubcdfg") for _ in range(5))
     rows = [f"{word()} my contact mail: user{k}@mail.example.com {word()} the version {k}.0 {word()}" for k in range(40)]
     rows += [f"{word()} my contact mail: zz-{k}77431 {word()} order {k}55667 {word()}" for k in range(5)]
-    docs = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "doc_id long, text string")
+    docs = spark.createDataFrame([(k, t, "x", "y") for k, t in enumerate(rows)], "doc_id long, text string, digest string, added string")
     contexts = pii.learn_contexts(docs)
-    assert "L contact mail:" in contexts
+    assert {"L contact mail:", "W mail:"} <= patterns(contexts)
     found = {x["doc_id"]: x["spans"] for x in pii.find(docs, contexts).collect()}
     for k in range(40, 45):
         start = rows[k].index("zz-")
         assert found[k] == f"id:{start}:{start + len(f'zz-{k - 40}77431')}"
     assert all("id:" not in found[k] for k in range(40))
-    hidden = {x["doc_id"]: x["text"] for x in pii.redact(docs, contexts).collect()}
+    out = pii.redact(docs, contexts)
+    assert out.columns == docs.columns
+    hidden = {x["doc_id"]: x["text"] for x in out.collect()}
     assert "[EMAIL]" in hidden[0] and "@" not in hidden[0] and "[ID]" in hidden[44] and "order 455667" in hidden[44]
-    assert pii.learn_contexts(docs.limit(0)) == []
+    assert patterns(pii.learn_contexts(docs.limit(0))) == set()
 
 
 def test_rare_contexts_are_scored_in_a_large_corpus(spark):
-    rows = [f"kontakt adresse: user{k}@mail.example.com ende" for k in range(4)]
+    rows = [f"kontakt adresse: user{k}@mail.example.com ende" for k in range(12)]
     rows += [f"kontakt adresse: zz-{k}77431 ende" for k in range(2)]
     rows += [f"see p{k} q{k} u{k}@mail.example.com r{k}" for k in range(9000)]
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "doc_id long, text string")
     contexts = pii.learn_contexts(docs)
-    assert {"L kontakt adresse:", "M adresse: ende"} <= set(contexts)
-    assert "id:" in pii.find(docs.where("doc_id = 4"), contexts).first()["spans"]
+    assert {"L kontakt adresse:", "M adresse: ende", "W adresse:"} <= patterns(contexts)
+    assert "id:" in pii.find(docs.where("doc_id = 12"), contexts).first()["spans"]
+
+
+def test_planted_tokens_are_found_and_clean_documents_left_alone(spark):
+    docs = table(spark, SF01, "documents")
+    contexts = pii.learn_contexts(docs).cache()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    planted = {d: [m.span(1) for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', t or "")] for d, t in texts.items()}
+    got = {}
+    for r in pii.find(docs, contexts).collect():
+        got[r["doc_id"]] = [tuple(map(int, s.split(":")[1:])) for s in r["spans"].split(",") if s.startswith("id:")]
+    assert got == planted and sum(map(len, planted.values())) > 5
+    found, known = pii.masked_recall(docs)
+    assert known > 0 and found >= 0.9 * known
 
 
 def test_context_totals_are_exact(spark):
-    texts = ["a b c a b", "b", "x a b = c", "", None, "a c a c"]
+    texts = ["a b c a b", "b", "x a b = c", "", None, "a c a c", "w" * 300 + " a b"]
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
-    wanted = spark.createDataFrame([(p,) for p in ("L a b", "M a c", "M ^ $", "L ^", "M c $", "L never seen")], "pattern string")
+    long = pii.split_words("w" * 300)[0]
+    wanted = spark.createDataFrame([(p,) for p in ("L a b", "M a c", "M ^ $", "L ^", "M c $", "L never seen", "W a", "L a", f"L {long} a", f"W {long}")], "pattern string")
     got = {r["pattern"]: r["total"] for r in pii._frequencies(docs, wanted).collect()}
-    assert got == {"L a b": 3, "M a c": 1, "M ^ $": 1, "L ^": 4}
+    assert got == {"L a b": 2, "M a c": 1, "M ^ $": 1, "L ^": 5, "W a": 6, "L a": 2, f"L {long} a": 1, f"W {long}": 1}
 
 
-def test_long_identifiers_are_taken_whole():
+def test_long_identifiers_and_words_are_taken_whole():
     key = "k" * 70 + "4711" + "x" * 80 + "0815" + "y" * 90 + "99"
     for text in (f"my api key: {key} end", f"my api key: ({key}), end", f"my api key: {key}"):
-        spans = pii.all_spans(text, frozenset(["L api key:"]))[1]
-        assert [text[a:b] for _, a, b in spans] == [key]
-        assert pii.hide(text, spans) == text.replace(key, "[ID]")
+        (a, b), = pii.candidates(text, [])
+        assert text[a:b] == key and "L api key:" in pii.words_around(text, a, b)
+        assert pii.hide(text, [("id", a, b)]) == text.replace(key, "[ID]")
     assert list(pii.candidates("token=" + "z" * 100 + " 12 a=12345678", [])) == [(112, 120)]
+    long = "w" * 300
+    assert pii.words_around(f"a {long} 12345678 b", 303, 311)[0] == f"L a {pii.split_words(long)[0]}"
 
 
 def test_pii_of_odd_texts(odd):
