@@ -161,7 +161,7 @@ def test_embedding_links(spark, tile):
 
 def test_top_k(spark):
     r = np.random.default_rng(9)
-    for dims, high in ((3, 4), (40, 2000), (12, 1 << 28)):
+    for dims, high in ((3, 4), (40, 2000), (12, 1 << 28), (5, 1 << 24)):
         x = r.integers(-high, high, (400, dims))
         x[50:60] = x[40]
         rows = [(k, v.tolist()) for k, v in enumerate(x)] + [(7, x[7].tolist()), (9, [1])]
@@ -179,8 +179,42 @@ def test_integers_leave_out_what_has_none(spark):
     frame, _ = odd_vectors(spark)
     ids = {r["vec_id"] for r in topk.as_integers(frame.where("vec_id < 350")).collect()}
     assert ids.isdisjoint({300, 302, 303, 304, None}) and {301, 305, 306} <= ids
-    with pytest.raises(ValueError, match="64 bits"):
-        topk.exact_dtype(np.array([[1 << 40]]), np.array([[1 << 40]]))
+    huge = spark.createDataFrame([(1, [1e30, -1.5]), (2, [0.3, 1e300]), (3, [1.7e308, 0.0])], "vec_id long, embedding array<double>")
+    assert sorted((r["vec_id"], r["v"]) for r in topk.as_integers(huge).collect()) == [(1, [256e30, -384.0]), (2, [76.0, 256e300])]
+
+
+def test_large_components_are_exact_or_an_error(spark):
+    rows = [(0, [1e7, 0.0]), (1, [1e7, 1.0]), (2, [1e30, 0.0]), (3, [0.0, 2.5]), (4, [-1e30, 0.0])]
+    frame = topk.as_integers(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    by_id = {r["vec_id"]: r["v"] for r in frame.collect()}
+    few = frame.where("vec_id < 2 or vec_id = 3")
+    got = [(r["query_id"], r["vec_id"], r["score"]) for r in topk.top_k(few, few).orderBy("query_id", "rank").collect()]
+    exact = {(q, v): sum(int(a) * int(b) for a, b in zip(by_id[q], by_id[v])) for q in (0, 1, 3) for v in (0, 1, 3) if q != v}
+    assert got == [(q, v, s) for q in (0, 1, 3) for (_, v), s in sorted(((k, s) for k, s in exact.items() if k[0] == q), key=lambda x: (-x[1], x[0]))]
+    # a row whose huge score is not among the k highest does no harm, one that is is an error
+    assert [r["vec_id"] for r in topk.top_k(frame.where("vec_id = 0"), frame.where("vec_id <> 2"), k=2).orderBy("rank").collect()] == [1, 3]
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        topk.top_k(frame.where("vec_id = 0"), frame, k=2).collect()
+
+
+def test_max_score_needs_fewer_terms_as_the_threshold_rises():
+    r = np.random.default_rng(4)
+    rows = np.floor(256 * r.normal(size=(9000, 48)) / np.arange(1, 49))
+    rows[:3000, 0] += 3000  # chunks that a query may pass over
+    ids = r.permutation(9000)
+    shard = topk.Shard(rows[np.argsort(ids)], np.sort(ids))
+    by_row = rows[np.argsort(ids)]
+    passed = 0
+    for q in range(0, 9000, 500):
+        essential = []
+        row, score = shard.best(by_row[q], q, 5, essential)
+        exact = by_row @ by_row[q]
+        exact[q] = -np.inf
+        want = np.lexsort((np.arange(9000), -exact))[:5]
+        assert row.tolist() == want.tolist() and score.tolist() == exact[want].tolist()
+        assert essential[0] == 48 and min(essential) < 24
+        passed += len(essential) < len(shard.starts)
+    assert passed
 
 
 @pytest.mark.parametrize("name", ["op1_warc", "op7_embedding_dedup", "op9_maxscore"])
