@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
+from typing import Any
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +27,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """An object of this package, broadcast for tasks on executors that do not have the package.
+
+    Spark's broadcast stores an object's class by name; here the object goes as bytes that
+    hold its class too.  A worker unpacks them once a task."""
+
+    def __init__(self, spark: SparkSession, thing: Any) -> None:
+        self._data, self._thing = spark.sparkContext.broadcast(cloudpickle.dumps(thing)), None
+
+    def __getstate__(self) -> dict:
+        return {"_data": self._data, "_thing": None}
+
+    @property
+    def value(self) -> Any:
+        if self._thing is None:
+            self._thing = pickle.loads(self._data.value)
+        return self._thing
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with underscores before it until no column of ``taken`` has it."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = "_" + name
+    return name
+
+
 def remainder_of_crc(column: str, modulus: int) -> Column:
     """crc32 of the identifier's decimal text, modulo ``modulus`` (null: of the empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bookdemand.llm.base import Shared
+
 # Element names of HTML.
 BLOCKS = frozenset("""address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody
@@ -383,7 +385,7 @@ def extract(pages: DataFrame, crf: Field) -> DataFrame:
     Null and empty html, and pages without article blocks, give an empty text.  Rows with
     null ids or urls and repeated rows come out as they came in; other columns are not read.
     """
-    shared = pages.sparkSession.sparkContext.broadcast(crf)  # a few hundred weights
+    shared = Shared(pages.sparkSession, crf)  # a few hundred weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookdemand.llm.base import stored
+from bookdemand.llm.base import free_name, stored
 
 DIMENSIONS = ("source", "lang", "topic")
 MISSING = "(none)"  # a null source or language is a category of its own
@@ -200,6 +200,7 @@ def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = Non
 
 def sampled(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that ``mix`` keeps, columns as they are."""
-    kept = mix(docs, **settings).where("kept").select("draw").distinct()
-    keyed = docs.withColumn("__draw", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    return keyed.join(kept, keyed["__draw"] == kept["draw"], "left_semi").drop("__draw")
+    draw = free_name("draw", docs.columns)
+    kept = mix(docs, **settings).where("kept").select(F.col("draw").alias(draw)).distinct()
+    keyed = docs.withColumn(draw, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    return keyed.join(kept, draw, "left_semi").select(*docs.columns)

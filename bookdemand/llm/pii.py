@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookdemand.llm.base import stored
+from bookdemand.llm.base import free_name, stored
 
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"  # kind of the spans that contexts add
@@ -392,16 +392,10 @@ def hide(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
     return "".join(out) + text[at:]
 
 
-def _free(name: str, taken: list[str]) -> str:
-    while name.lower() in {t.lower() for t in taken}:
-        name = "_" + name
-    return name
-
-
 def redact(docs: DataFrame, contexts: DataFrame | None = None) -> DataFrame:
     """``docs`` with all spans in ``text`` replaced; ``n_chars`` follows if there is one.
     Null texts stay null; every row and column stays, whatever the columns are called."""
-    digest, added = _free("digest", docs.columns), _free("added", docs.columns)
+    digest, added = free_name("digest", docs.columns), free_name("added", docs.columns)
 
     @F.pandas_udf("string")
     def run(texts: pd.Series, marks: pd.Series) -> pd.Series:

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookdemand.llm.base import training_sample
+from bookdemand.llm.base import Shared, training_sample
 
 WIDTH = 6
 STEP = 32  # positions pooled first
@@ -171,7 +171,7 @@ def score(docs: DataFrame, net: Network, name: str = "score") -> DataFrame:
     Null texts count as empty, which get the score of a blank; equal texts get equal
     scores; all columns stay (a column that already has the name is replaced).
     """
-    shared = docs.sparkSession.sparkContext.broadcast(net)  # WIDTH * 256 * filters floats
+    shared = Shared(docs.sparkSession, net)  # WIDTH * 256 * filters floats
 
     @F.pandas_udf("double")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookdemand.llm.base import stored
+from bookdemand.llm.base import Shared, free_name, stored
 from bookdemand.llm.components import connected_components
 
 LANES = np.uint64(0x0101010101010101)
@@ -60,17 +60,18 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = 3, seed: int = 42) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long) of every row of ``docs``, whole
-    texts.  Null and blank texts have fingerprint zero; repeated rows stay repeated;
+    """doc_id, fp (the 64 bits as a signed long) and text_hash (XXH64 of the text, as Spark's
+    xxhash64 gives it; null as empty) of every row of ``docs``, whole texts.  Null and blank texts have fingerprint zero; repeated rows stay repeated;
     other columns are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([majority(text_hashes(t.as_py(), words_per_shingle, seed)) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            texts = np.array([xxhash.xxh64_intdigest((t.as_py() or "").encode("utf-8", "surrogatepass"), seed=42) for t in batch.column(1)], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), pa.array(texts.view(np.int64))], names=["doc_id", "fp", "text_hash"])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, fp long")
+    return slim.mapInArrow(run, "doc_id long, fp long, text_hash long")
 
 
 # ---------------------------------------------------------------- trees
@@ -219,7 +220,7 @@ def links(distinct: DataFrame, max_bits: int = 3, bands: int = 2, leaf_rows: int
         share = 32 if total > leaf_rows else max(len(sample), 1)
         trees.append(build_tree(sample, mask, max_bits // bands, max_bits, share, seed + band))
         first.append(sum(t.leaves for t in trees[:-1]))
-    shared = spark.sparkContext.broadcast(trees)  # at most max_sample nodes
+    shared = Shared(spark, trees)  # at most max_sample nodes
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,6 +241,20 @@ def links(distinct: DataFrame, max_bits: int = 3, bands: int = 2, leaf_rows: int
     return dealt.groupBy("leaf").applyInArrow(compare, "a long, b long")
 
 
+def grouped(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 3, seed: int = 42, **tree) -> DataFrame:
+    """doc_id, fp, text_hash, component (its smallest fingerprint as a signed long) and
+    component_id (its smallest doc_id; null if all are null) of every row of ``docs``."""
+    prints = stored(fingerprints(docs, words_per_shingle, seed), "fingerprints")
+    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct_prints")
+    roots = stored(connected_components(links(distinct, max_bits, **tree)), "roots")
+    first = (distinct.join(roots.withColumnRenamed("node", "fp"), "fp")
+             .groupBy("root").agg(F.min("first_id").alias("component_id")))
+    moved = roots.join(first, "root").select(F.col("node").alias("fp"), F.col("root").alias("component"), "component_id")
+    whole = distinct.join(moved, "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("component"), F.coalesce("component_id", "first_id").alias("component_id"))
+    return prints.join(whole, "fp").select("doc_id", "fp", "text_hash", "component", "component_id")
+
+
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 3, seed: int = 42, **tree) -> DataFrame:
     """doc_id, fp and component_id of every row of ``docs``.
 
@@ -249,26 +264,22 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, max_bits: int =
     are all null has component_id null.  Repeated rows come out as often as they came
     in; an empty table gives an empty table; other columns are not read.
     """
-    prints = stored(fingerprints(docs, words_per_shingle, seed), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct_prints")
-    roots = connected_components(links(distinct, max_bits, **tree))
-    grouped = (distinct.join(roots.withColumnRenamed("node", "fp"), "fp")
-               .groupBy("root").agg(F.min("first_id").alias("component_id")))
-    moved = roots.join(grouped, "root").select(F.col("node").alias("fp"), "component_id")
-    whole = distinct.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return prints.join(whole, "fp").select("doc_id", "fp", "component_id")
+    return grouped(docs, words_per_shingle, max_bits, seed, **tree).select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that stand for their near-duplicate group: the row with the
-    smallest doc_id; of several rows with that id, the one with the smallest text (then
-    the other columns in order).  Rows with a null doc_id cannot be told apart and all
-    stay.  Columns stay as they are."""
-    found = near_duplicates(docs, **settings)
-    chosen = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
-    kept = docs.join(chosen, docs["doc_id"] == chosen["__id"])
-    columns = docs.columns
-    lowest = kept.where("__n > 1").groupBy("__id").agg(F.min(F.struct(F.coalesce("text", F.lit("")).alias("__text"), *columns)).alias("r"))
-    return (kept.where("__n = 1").select(*columns)
-            .union(lowest.select(*[F.col("r")[c].alias(c) for c in columns]))
-            .union(docs.where("doc_id is null").select(*columns)))
+    """One row of ``docs`` for each near-duplicate group: the row with the smallest doc_id
+    (null last), of several rows with that id the one whose text has the smallest XXH64, of
+    several with that text too the lowest by the columns in order.  Unlike texts under one
+    doc_id are in groups of their own and stay; so do rows with a null doc_id, one a group.
+    Columns stay as they are, whatever their names."""
+    found = stored(grouped(docs, **settings), "grouped")
+    key, held, copies, low = (free_name(n, docs.columns) for n in ("id", "hash", "copies", "row"))
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("r")).select("r.*")
+    counts = found.groupBy("doc_id", "text_hash").count()
+    chosen = first.join(counts, first["doc_id"].eqNullSafe(counts["doc_id"]) & (first["text_hash"] == counts["text_hash"])).select(
+        first["doc_id"].alias(key), first["text_hash"].alias(held), F.col("count").alias(copies))
+    own = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    kept = docs.join(chosen, docs["doc_id"].cast("long").eqNullSafe(F.col(key)) & (own == F.col(held)))
+    lowest = kept.where(F.col(copies) > 1).groupBy(key, held).agg(F.min(F.struct(*docs.columns)).alias(low))
+    return kept.where(F.col(copies) == 1).select(*docs.columns).union(lowest.select(*[F.col(low)[c].alias(c) for c in docs.columns]))

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookdemand.llm.base import training_sample
+from bookdemand.llm.base import Shared, training_sample
 from bookdemand.llm.simhash import majority, text_hashes
 
 # Small word lists in English, German, French and Spanish.
@@ -223,7 +223,7 @@ def score(docs: DataFrame, grammar: Grammar, name: str = "score") -> DataFrame:
     Null and empty texts have no clause and get the score of a text without matches; all
     rows and columns stay (a column that already has the name is replaced).
     """
-    shared = docs.sparkSession.sparkContext.broadcast(grammar)  # bounded by the training sample
+    shared = Shared(docs.sparkSession, grammar)  # bounded by the training sample
 
     @F.pandas_udf("double")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:

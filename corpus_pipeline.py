@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookdemand.llm import bpe, mixing, pii, quality, simhash
-from bookdemand.llm.base import remainder_of_crc, stored, table
+from bookdemand.llm.base import free_name, remainder_of_crc, stored, table
 from bookdemand.llm.queries import tokenizer_path
 
 QUALITY_THRESHOLD = 0.3
@@ -23,11 +23,12 @@ ORACLE_SQL = None
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose quality score is at least 0.3; a null text counts as empty."""
     net = quality.fit(docs, table(spark, sf_dir, "labels"), allowed=remainder_of_crc("doc_id", 5) != 0)
-    return quality.score(docs, net, "__score").where(F.col("__score") >= QUALITY_THRESHOLD).select(*docs.columns)
+    score = free_name("score", docs.columns)
+    return quality.score(docs, net, score).where(F.col(score) >= QUALITY_THRESHOLD).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each near-duplicate group: the smallest doc_id."""
+    """One row of each near-duplicate group: the smallest doc_id, null ids last."""
     return simhash.one_of_each(docs)
 
 
