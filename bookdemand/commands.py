@@ -27,6 +27,7 @@ from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, Str
 from bookdemand import schemas as S
 from bookdemand.functions.dates import iso_date, iso_instant
 from bookdemand.operators.equivalence import equivalence_report
+from bookdemand.operators.quality import assert_fraction
 from bookdemand.operators.scaling import median_summary, metrics_long, require_ok, speedup_versus, unit_scaling
 from bookdemand.session import build_session, size_to_input
 from bookdemand.sinks.files import publish_staged, with_fixed_decimals, write_outputs
@@ -69,7 +70,8 @@ def generate(spark, rooms: int, requests: int, seed: int, out: str, *, fmt: str
     if fmt == "parquet":
         done = {}
         for name, df in (("rooms", room_df), ("requests", request_df)):
-            done[name] = publish_staged(df, f"{out.rstrip('/')}/{name}", fmt="parquet")
+            done[name] = f"{out.rstrip('/')}/{name}"
+            publish_staged(df, done[name], fmt="parquet")
         return done
     return write_outputs(
         {"rooms": as_published(room_df, S.PUBLISHED_ROOM_HEADER),
@@ -84,6 +86,7 @@ def metrics(spark, timings: str, out: str, baseline: Mapping[str, str] | None =
     summary = median_summary(raw, ordered=True)
     scaled = unit_scaling(summary)
     require_ok(scaled)
+    assert_fraction(scaled, "reference_fraction")  # DQ-17
     outputs = {
         "summary": summary,
         "metrics": metrics_long(scaled).drop("status").orderBy("engine", "operator", "units", "metric"),

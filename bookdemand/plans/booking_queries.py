@@ -75,7 +75,8 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bookdemand.sources.csv import read_parts
 
     t2 = demand_by_room(load_requests(spark, sf_dir), ordered=False)
-    path = publish_staged(t2, scratch_path(spark, "csv-roundtrip"), fmt="csv")
+    path = scratch_path(spark, "csv-roundtrip")
+    publish_staged(t2, path, fmt="csv")
     return read_parts(spark, path, t2.schema)
 
 

@@ -16,9 +16,9 @@ from bookdemand.plans.oracle_views import REQUESTS_CTE, ROOMS_CTE, minutes_betwe
 from bookdemand.plans.registry import register
 from bookdemand.sources.tables import YEAR_END, YEAR_START, load_requests, load_rooms, read_table
 
-# Columns of the fingerprinted tables, doubles marked with a +, instants with an @.
-ORDER_TEXTS = ["o_orderkey", "o_custkey", "o_orderstatus", "+o_totalprice", "@o_orderdate", "o_orderpriority"]
-LINE_TEXTS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "+l_quantity", "+l_extendedprice", "+l_discount", "+l_tax", "l_returnflag", "l_linestatus", "@l_shipdate"]
+# Columns of the fingerprinted tables: doubles marked with a +, instants with an @, texts with a $.
+ORDER_TEXTS = ["o_orderkey", "o_custkey", "$o_orderstatus", "+o_totalprice", "@o_orderdate", "$o_orderpriority"]
+LINE_TEXTS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "+l_quantity", "+l_extendedprice", "+l_discount", "+l_tax", "$l_returnflag", "$l_linestatus", "@l_shipdate"]
 REQ_COLS = ["request_id", "room_id", "booking_date", "start_time", "end_time", "attendees", "status", "created_at"]
 REQ_TEXT = {"start_time", "end_time", "status"}
 ROOM_COLS = ["room_id", "code", "name", "capacity", "state", "active"]
@@ -117,11 +117,21 @@ def dq_missing_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing_keys(docs, read_table(spark, sf_dir, "labels"), ["doc_id"])
 
 
+def _column_text(name: str) -> str:
+    """A column's text as the fingerprint takes it: + marks a double, @ an instant, $ a text."""
+    mark, c = (name[0], name[1:]) if name[0] in "+@$" else ("", name)
+    if mark == "+":
+        count = f"CAST(floor({c} * 1e6 + 0.5) AS BIGINT)"
+        other = f"CASE WHEN isnan({c}) THEN 'nan' WHEN isinf({c}) THEN CAST({c} AS VARCHAR) ELSE replace(format('{{:a}}', {c}), 'p+', 'p') END"
+        text = f"CASE WHEN abs({c}) < 9e12 AND {count} / 1e6::DOUBLE = {c} THEN CAST({count} AS VARCHAR) ELSE {other} END"
+    else:
+        text = {"@": f"CAST(epoch_us({c}) AS VARCHAR)", "$": f"octet_length(encode({c})) || ':' || {c}"}.get(mark, f"CAST({c} AS VARCHAR)")
+    return f"coalesce({text}, '~')"
+
+
 def _fingerprint_sql(table: str, columns: list[str]) -> str:
-    """Doubles are named with a leading +, instants with an @."""
-    number = {"+": "CAST(floor({} * 1e6 + 0.5) AS BIGINT)", "@": "epoch_us({})"}
-    text = [f"coalesce(CAST({number[c[0]].format(c[1:]) if c[0] in number else c} AS VARCHAR), chr(30))" for c in columns]
-    return (f"SELECT '{table}' AS \"table\", count(*) AS rows, CAST(CAST(coalesce(sum(CAST(('0x' || substr(md5(concat_ws(chr(31), {', '.join(text)})), 1, 15)) "
+    text = " || '|' || ".join(map(_column_text, columns)) + " || '|'"
+    return (f"SELECT '{table}' AS \"table\", count(*) AS rows, CAST(CAST(coalesce(sum(CAST(('0x' || substr(md5({text}), 1, 15)) "
             f"AS BIGINT)), 0) AS HUGEINT) AS VARCHAR) AS fingerprint FROM {table}")
 
 

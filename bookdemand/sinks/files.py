@@ -7,9 +7,9 @@ only renames a committed directory (staged publish).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -43,20 +43,32 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
-def publish_staged(df: DataFrame, path: str, *, fmt: str = "csv", expected_rows: int | None = None) -> str:
-    """SNK-2: write next to ``path``, check the commit, then swap it in.
+class RuleViolated(RuntimeError):
+    """A staged write whose observed metrics break a rule; nothing was published."""
+
+
+def publish_staged(
+    df: DataFrame, path: str, *, fmt: str = "csv", expected_rows: int | None = None,
+    metrics: Mapping[str, Column] | None = None, check: Callable[[dict], Sequence[str]] | None = None,
+) -> dict:
+    """SNK-2: write next to ``path``, check the commit, then swap it in; returns the metrics.
 
     Readers of ``path`` never see a half-written table: the job commits into
-    a staging directory; only a committed (``_SUCCESS``) directory — whose row
-    count matches ``expected_rows`` when given — replaces the old one, which
-    is moved aside first and deleted last, so that a crash between leaves one
+    a staging directory; only a committed (``_SUCCESS``) directory replaces the old
+    one, which is moved aside first and deleted last, so that a crash between leaves one
     of the two whole under a name that says what it is.  On
-    stores without atomic rename the swap is a copy; prefer a table format
-    there.
+    stores without atomic rename the swap is a copy; :mod:`bookdemand.sinks.snapshots`
+    needs no rename.
+
+    ``metrics`` (aggregates by name; ``rows`` is always one) are observed on the rows while
+    they are written, so nothing is read again.  ``check`` gets them and names the rules they
+    break; if it names any, or ``rows`` is not ``expected_rows``, the staged files are
+    removed and this raises.
     """
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
-    writer = df.write.mode("error")
+    observation = Observation(f"publish-{uuid.uuid4().hex[:12]}")
+    writer = df.observe(observation, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (metrics or {}).items()]).write.mode("error")
     if fmt == "csv":
         writer.option("header", True).csv(staging)
     else:
@@ -65,12 +77,13 @@ def publish_staged(df: DataFrame, path: str, *, fmt: str = "csv", expected_rows:
     jvm = spark.sparkContext._jvm
     if not fs.exists(jvm.org.apache.hadoop.fs.Path(staging + "/_SUCCESS")):
         raise RuntimeError(f"staged write of {path} did not commit")
-    if expected_rows is not None:
-        reader = spark.read.option("header", True) if fmt == "csv" else spark.read
-        got = (reader.schema(df.schema).csv(staging) if fmt == "csv" else reader.format(fmt).load(staging)).count()
-        if got != expected_rows:
-            fs.delete(jstaging, True)
-            raise RuntimeError(f"staged write of {path} has {got} rows, expected {expected_rows}")
+    seen = {"rows": 0, **observation.get}
+    broken = list(check(seen)) if check else []
+    if expected_rows is not None and seen["rows"] != expected_rows:
+        broken.append(f"it has {seen['rows']} rows, expected {expected_rows}")
+    if broken:
+        fs.delete(jstaging, True)
+        raise RuleViolated(f"{path} is not published: " + "; ".join(broken))
     _, jtarget = _fs(spark, path)
     retired = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.retired-{uuid.uuid4().hex[:12]}")
     replaces = fs.exists(jtarget)
@@ -82,7 +95,7 @@ def publish_staged(df: DataFrame, path: str, *, fmt: str = "csv", expected_rows:
         raise RuntimeError(f"could not move {staging} to {path}; the old table is in place")
     if replaces:
         fs.delete(retired, True)
-    return path
+    return seen
 
 
 def write_outputs(outputs: Mapping[str, DataFrame], base: str, *, staged: bool = True) -> dict[str, str]:

@@ -1,0 +1,174 @@
+"""Quarantine, observed writes, hash-tree differences, sketches and the fingerprint's probes."""
+
+import random
+import struct
+
+import duckdb
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+from bookdemand.operators.differences import bounds_of, differing_rows, hash_tree, in_leaves, unequal_leaves
+from bookdemand.operators.fingerprint import row_text, table_fingerprint
+from bookdemand.operators.sketches import quantiles, sketch_size, sketches, true_ranks
+from bookdemand.plans.inspect import plan_text
+from bookdemand.plans.quality_queries import _column_text
+from bookdemand.sinks.files import RuleViolated, publish_staged
+from bookdemand.sources.quarantine import read_csv_quarantine
+
+CSV = StructType([StructField("k", IntegerType()), StructField("name", StringType()), StructField("day", StringType())])
+
+
+def read(spark, path):
+    return read_csv_quarantine(spark, str(path), CSV, required=["k", "name"], typed={"day": F.expr("try_to_date(day, 'yyyy-MM-dd')")})
+
+
+def test_quarantine_names_file_line_and_reason(spark, tmp_path):
+    (tmp_path / "part-0.csv").write_text('k,name,day\n1,a,2024-01-01\n2,b\nx,c,2024-01-02\n3,,2024-01-03\n\n4,d,2024-13-01\nk,name,day\n5,"q,r",2024-01-05\n6,é,2024-01-06,extra\n')
+    (tmp_path / "part-1.csv").write_text("name,k,day\n7,a,2024-01-01\n")
+    (tmp_path / "part-2.csv").write_text("k,name,day\r\n8,z,\r\n9,,\r\n")
+    (tmp_path / "part-3.csv").write_text("11,no header,2024-01-01\n12,x\n")
+    found = read(spark, tmp_path)
+    assert sorted((r["k"], r["name"], str(r["day"])) for r in found.accepted.collect()) == [(1, "a", "2024-01-01"), (5, "q,r", "2024-01-05"), (8, "z", "None")]
+    got = sorted((r["file"].rsplit("/", 1)[1], r["position"], r["reason"], r["raw"]) for r in found.rejected.collect())
+    assert got == [
+        ("part-0.csv", 3, "record", "2,b"), ("part-0.csv", 4, "record", "x,c,2024-01-02"), ("part-0.csv", 5, "blank", "3,,2024-01-03"),
+        ("part-0.csv", 7, "day", "4,d,2024-13-01"), ("part-0.csv", 8, "record", "k,name,day"), ("part-0.csv", 10, "record", "6,é,2024-01-06,extra"),
+        ("part-1.csv", 1, "header", "name,k,day"), ("part-1.csv", 2, "header", "7,a,2024-01-01"), ("part-2.csv", 3, "blank", "9,,"),
+        ("part-3.csv", 1, "header", "11,no header,2024-01-01"), ("part-3.csv", 2, "header", "12,x")]
+    report = {r["rule"]: (r["checked"], r["violations"], r["sample"]) for r in found.report.collect()}
+    assert report["source.header"] == (4, 2, "part-1.csv")
+    assert report["source.well_formed"][1:] == (4, "part-0.csv:3") and report["source.required_values"][1:] == (2, "part-0.csv:5")
+    assert report["source.valid_day"][1:] == (1, "part-0.csv:7")
+
+
+def test_quarantine_accounts_for_every_line_of_large_files(spark, tmp_path):
+    pick, want = random.Random(2), []
+    for f in range(3):
+        lines = ["k,name,day"]
+        for k in range(4000):
+            kind = pick.choice(["ok"] * 8 + ["short", "type", "blank"])
+            lines.append({"ok": f"{k},n{k},2024-01-01", "short": f"{k}", "type": f"z{k},n,2024-01-01", "blank": f"{k}, ,2024-01-01"}[kind])
+            if kind != "ok":
+                want.append((f"part-{f}.csv", k + 2))
+        (tmp_path / f"part-{f}.csv").write_text("\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")  # several blocks a file, several tasks
+    try:
+        found = read(spark, tmp_path)
+        rejected = sorted((r["file"].rsplit("/", 1)[1], r["position"]) for r in found.rejected.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert rejected == sorted(want)
+    assert found.accepted.count() + len(rejected) + 3 == 3 * 4001
+
+
+def test_observed_metrics_need_no_second_read(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    rows = spark.range(0, 1000, 1, 4).mapInArrow(count, "id long")
+    seen = publish_staged(rows, f"{tmp_path}/t", fmt="parquet", expected_rows=1000, metrics={"total": F.sum("id"), "none": F.count(F.when(F.col("id").isNull(), 1))})
+    assert seen == {"rows": 1000, "total": 499500, "none": 0} and reads.value == 1000
+    with pytest.raises(RuleViolated, match="too few"):
+        publish_staged(spark.range(3), f"{tmp_path}/t", fmt="parquet", check=lambda m: ["too few"] if m["rows"] < 10 else [])
+    with pytest.raises(RuleViolated, match="1000 rows, expected 7"):
+        publish_staged(spark.range(1000), f"{tmp_path}/t", fmt="parquet", expected_rows=7)
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 1000
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]  # nothing staged is left
+    assert publish_staged(spark.range(0), f"{tmp_path}/e", fmt="parquet")["rows"] == 0
+
+
+def both_ways(a, b):
+    left = a.exceptAll(b).groupBy(*a.columns).count().select(*a.columns, F.lit("left").alias("side"), F.col("count").alias("copies"))
+    right = b.exceptAll(a).groupBy(*a.columns).count().select(*a.columns, F.lit("right").alias("side"), F.col("count").alias("copies"))
+    return sorted(map(tuple, left.unionByName(right).collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_differing_rows_are_exceptall_both_ways(spark, seed):
+    pick = random.Random(seed)
+    keys = [None, 0, -1, 7, (1 << 63) - 1, -(1 << 63), *[pick.randrange(-5000, 5000) for _ in range(300)]]
+    rows = [(pick.choice(keys), pick.choice(["a", None, "b"]), pick.choice([None, 0.0, 1.5])) for _ in range(600)]
+    other = [r for r in rows if pick.random() > 0.03] + [(pick.choice(keys), "new", None) for _ in range(5)]
+    a, b = (spark.createDataFrame(x, "k long, s string, d double") for x in (rows, other))
+    for leaves in (4, 4096):
+        assert sorted(map(tuple, differing_rows(a, b, "k", leaves=leaves).collect()), key=repr) == both_ways(a, b)
+    assert differing_rows(a, a.repartition(3), "k").collect() == []
+    assert differing_rows(a, a.limit(0), "k").agg(F.sum("copies")).first()[0] == len(rows)
+
+
+def test_trees_tell_nulls_swaps_and_copies_apart(spark):
+    def trees(x, y):
+        return [hash_tree(spark.createDataFrame(v, "k long, s string, t string"), "k", leaf_bits=8) for v in (x, y)]
+
+    for x, y in (([(1, None, "a")], [(1, "a", None)]), ([(1, "a", "b")], [(1, "b", "a")]), ([(1, "a", "b")], [(1, "a", "b")] * 2), ([(1, "", None)], [(1, None, "")])):
+        assert unequal_leaves(*trees(x, y)) == [(1 << 63) >> 8]
+    with pytest.raises(ValueError, match="other keys"):
+        unequal_leaves(hash_tree(spark.range(3), "id", leaf_bits=8), hash_tree(spark.range(3), "id", leaf_bits=9))
+
+
+def test_only_unequal_ranges_are_read(spark, tmp_path):
+    a = spark.range(100_000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    b = a.withColumn("v", F.when(F.col("k").isin(5, 70_001), -1).otherwise(F.col("v")))
+    for name, df in (("a", a), ("b", b)):
+        df.repartitionByRange(8, "k").sortWithinPartitions("k").write.parquet(f"{tmp_path}/{name}")
+    stored = [spark.read.parquet(f"{tmp_path}/{n}") for n in "ab"]
+    trees = tuple(hash_tree(x, "k", leaf_bits=6) for x in stored)
+    leaves = unequal_leaves(*trees)
+    assert [bounds_of(x, 6) for x in leaves] == [(0, 63), (69_952, 70_015)]
+    part = in_leaves(stored[0], "k", leaves, 6)
+    assert part.count() == 128 and "PushedFilters: [Or(" in plan_text(part, "formatted")
+    assert sorted(map(tuple, differing_rows(*stored, "k", trees=trees).collect())) == [(5, -1, "right", 1), (5, 5, "left", 1), (70_001, -1, "right", 1), (70_001, 1, "left", 1)]
+    # more ranges than predicates: gaps are read with them and left out again
+    many = list(range(1 << 57, (1 << 57) + 3000, 3))
+    held = sum(max(0, min(high, 99_999) - low + 1) for low, high in (bounds_of(x, 6) for x in many))
+    assert in_leaves(stored[0], "k", many, 6, most_ranges=10).count() == held
+
+
+def test_sketches_merge_within_their_error(spark):
+    r = random.Random(9)
+    rows = [(k % 3, k % 5, r.choice([None, r.gauss(0, 1), float(r.randrange(4))])) for k in range(20_000)]
+    df = spark.createDataFrame(rows, "s int, month int, v double")
+    answers = quantiles(sketches(df, ["s"], "v", period="month"), ["s"], [0.0, 0.1, 0.5, 0.99, 1.0])
+    checked = true_ranks(df, answers, ["s"], "v").collect()
+    assert len(checked) == 15 and all(x["within"] for x in checked)
+    assert {x["s"]: x["n"] for x in checked} == {s: sum(a == s and v is not None for a, _, v in rows) for s in range(3)}
+    assert sketch_size(0.1) < sketch_size(0.001)
+    for bad in (0, 1, 1e-9):
+        with pytest.raises(ValueError):
+            sketch_size(bad)
+
+
+# ---------------------------------------------------------------- fingerprint
+
+@pytest.mark.parametrize("x, y", [(0.0, 1e-7), (0.0, float("nan")), (1e13, 2e13), (1e300, float("inf")), (float("inf"), float("-inf")), (None, float("nan")),
+                                  (0.1, 0.1 + 2 ** -56), (1e-320, 2e-320), (9e12, 9e12 + 0.001953125)])
+def test_other_doubles_have_other_fingerprints(spark, x, y):
+    a, b = (table_fingerprint(spark.createDataFrame([(v,)], "d double")).first() for v in (x, y))
+    assert a != b
+
+
+def test_texts_cannot_run_into_each_other(spark):
+    pairs = [("a\x1fb", "c"), ("a", "b\x1fc"), (None, "x"), ("\x1e", "x"), ("~", "x"), ("a|1:b", ""), ("a", "b|"), ("", None), (None, ""), ("1:a", "b"), ("é", "e")]
+    found = {table_fingerprint(spark.createDataFrame([p], "a string, b string")).first()["fingerprint"] for p in pairs}
+    assert len(found) == len(pairs)
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.floats(allow_nan=True) | st.integers(-10 ** 13, 10 ** 13).map(lambda n: n / 100), min_size=1, max_size=40))
+def test_doubles_are_written_as_sql_writes_them(spark, values):
+    got = [r[0] for r in spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, d double").orderBy("k").select(row_text(spark.createDataFrame([], "d double"))).collect()]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (k INT, d DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))
+    want = [r[0] for r in con.execute(f"SELECT {_column_text('+d')} || '|' FROM t ORDER BY k").fetchall()]
+    assert got == want
+    bits = {struct.pack(">d", v) if v == v and v != 0 else str(abs(v)) for v in values}
+    assert len(set(got)) == len(bits)
