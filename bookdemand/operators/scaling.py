@@ -47,17 +47,22 @@ def speedup_versus(summary: DataFrame, baseline: dict[str, object], join_on: Seq
     ``baseline`` selects the reference series by column equality (for example
     ``{"engine": "pandas"}``); ``join_on`` names the columns both must share.
     No series is dropped: one without a baseline, or with a time that is not
-    positive, keeps a null speedup and says why in ``status``.
+    positive, keeps a null speedup and says why in ``status``.  The baseline's
+    time (the largest, if a key has several) comes from a window, so the
+    summary is planned once.
     """
-    is_base = None
+    is_base = F.lit(True)
     for col, val in baseline.items():
-        cond = F.col(col) == F.lit(val)
-        is_base = cond if is_base is None else is_base & cond
-    base = summary.filter(is_base).select(*join_on, F.col("median_seconds").alias("_base"))
-    rest = summary.filter(~F.coalesce(is_base, F.lit(False)))
-    return rest.join(base, on=list(join_on), how="left").withColumn("status", _status(F.col("_base"))).withColumn(
-        "speedup", F.when(F.col("status") == OK, F.col("_base") / F.col("median_seconds"))
-    ).drop("_base")
+        is_base = is_base & (F.col(col) == F.lit(val))
+    is_base = F.coalesce(is_base, F.lit(False))
+    shared = F.lit(True)
+    for col in join_on:
+        shared = shared & F.col(col).isNotNull()  # a null key shares nothing
+    base = F.max(F.when(is_base, F.col("median_seconds"))).over(Window.partitionBy(*join_on))
+    return (
+        summary.withColumn("_base", F.when(shared, base)).filter(~is_base).withColumn("status", _status(F.col("_base")))
+        .withColumn("speedup", F.when(F.col("status") == OK, F.col("_base") / F.col("median_seconds"))).drop("_base")
+    )
 
 
 def unit_scaling(summary: DataFrame, group: Sequence[str] = ("engine", "operator")) -> DataFrame:

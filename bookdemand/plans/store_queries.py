@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from bookdemand import schemas as S
 from bookdemand.operators.differences import differing_rows, hash_tree, leaf_width
+from bookdemand.operators.maintained import kept_demand, refresh_demand
 from bookdemand.operators.requests import filter_requests
 from bookdemand.operators.sketches import quantiles, sketches, true_ranks
 from bookdemand.plans.oracle_views import REQUESTS_CTE
 from bookdemand.plans.registry import register
 from bookdemand.session import scratch_path
-from bookdemand.sinks.files import publish_staged
+from bookdemand.sinks.files import publish_staged, write_landing_zone
 from bookdemand.sinks.snapshots import publish_snapshot, read_snapshot
 from bookdemand.sources.quarantine import read_csv_quarantine
 from bookdemand.sources.tables import YEAR_END, YEAR_START, load_requests, read_table
@@ -135,3 +136,21 @@ def median_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     sketches(events, ["event_type"], "value", period="month").write.partitionBy("month").parquet(path)
     answers = quantiles(spark.read.parquet(path), ["event_type"], [0.25, 0.5, 0.9])
     return true_ranks(events, answers, ["event_type"], "value").select("event_type", "rank", "n", "rank_error", "within")
+
+
+@register("maintained_demand", f"""WITH {REQUESTS_CTE}, r AS (
+  SELECT request_id, room_id, attendees + CASE WHEN strftime(booking_date, '%Y-%m') = '1995-03' THEN 1 ELSE 0 END AS attendees FROM requests)
+SELECT room_id, count(request_id) AS request_count, avg(attendees) AS avg_attendees, max(attendees) AS max_attendees FROM r GROUP BY room_id""")
+def maintained_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 kept up to date by partition: a landing zone by month, demand kept for it, one month
+    written anew (everybody brings a guest), and a refresh that reads that month only."""
+    path = scratch_path(spark, "maintained")
+    requests = load_requests(spark, sf_dir).select(*DEMAND_COLUMNS, S.BOOKING_DATE)
+    write_landing_zone(requests, f"{path}/zone")
+    refresh_demand(spark, f"{path}/zone", f"{path}/kept")
+    march = requests.where(F.date_format(S.BOOKING_DATE, "yyyy-MM") == "1995-03").withColumn(S.ATTENDEES, F.col(S.ATTENDEES) + 1)
+    march.write.mode("overwrite").parquet(f"{path}/zone/{S.BOOKING_MONTH}=1995-03")
+    read = refresh_demand(spark, f"{path}/zone", f"{path}/kept")
+    if read != ["1995-03"]:
+        raise RuntimeError(f"the refresh read {read}")
+    return kept_demand(spark, f"{path}/kept")

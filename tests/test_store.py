@@ -146,6 +146,39 @@ def test_sketches_merge_within_their_error(spark):
             sketch_size(bad)
 
 
+def test_demand_is_kept_by_month(spark, tmp_path):
+    from bookdemand.operators import demand_by_room
+    from bookdemand.operators.maintained import kept_demand, refresh_demand
+
+    zone, kept = f"{tmp_path}/zone", f"{tmp_path}/kept"
+
+    def land(month, rows, mode="overwrite"):
+        df = spark.createDataFrame(rows, "request_id long, room_id string, attendees int")
+        df.write.mode(mode).parquet(f"{zone}/booking_month={month}")
+
+    def same():
+        whole = spark.read.option("basePath", zone).parquet(zone)
+        assert sorted(map(tuple, kept_demand(spark, kept).collect()), key=repr) == sorted(map(tuple, demand_by_room(whole).collect()), key=repr)
+
+    land("2024-01", [(1, "a", 5), (2, "b", None), (None, None, 7)])
+    land("2024-02", [(3, "a", 9), (4, "a", 1)])
+    assert refresh_demand(spark, zone, kept) == ["2024-01", "2024-02"]
+    same()
+    assert refresh_demand(spark, zone, kept) == []
+    land("2024-02", [(5, "c", 2)], "append")
+    land("2024-03", [(6, "a", None)])
+    assert refresh_demand(spark, zone, kept) == ["2024-02", "2024-03"]
+    same()
+    land("2024-01", [(1, "a", 6)])
+    assert refresh_demand(spark, zone, kept) == ["2024-01"]
+    same()
+    import shutil
+
+    shutil.rmtree(f"{zone}/booking_month=2024-02")
+    assert refresh_demand(spark, zone, kept) == []
+    same()
+
+
 # ---------------------------------------------------------------- fingerprint
 
 @pytest.mark.parametrize("x, y", [(0.0, 1e-7), (0.0, float("nan")), (1e13, 2e13), (1e300, float("inf")), (float("inf"), float("-inf")), (None, float("nan")),
