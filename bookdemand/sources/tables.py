@@ -33,23 +33,32 @@ YEAR_START = "1996-07-01"
 YEAR_END = "1997-06-30"
 
 
-_RELATIONS: dict[tuple[str, int, str], DataFrame] = {}
+_RELATIONS: dict[tuple[str, int, str], tuple[list, DataFrame]] = {}
+
+
+def _file_states(spark: SparkSession, path: str) -> list[tuple]:
+    """(name, length, modification time) of the file ``path``, or of the files in that folder."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(jpath))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *, refresh: bool = False) -> DataFrame:
     """The parquet table ``name`` under ``sf_dir``.
 
     The relation (file listing and footer schema, not data) is kept per
-    session and path, as a catalog would; ``refresh=True`` lists again.
+    session and path, as a catalog would, until a file's name, length or
+    time changes; ``refresh=True`` reads the footer again in any case.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     application = spark.sparkContext.applicationId
     key = (application, id(spark), path)
-    if refresh or key not in _RELATIONS:
+    states = _file_states(spark, path)
+    if refresh or key not in _RELATIONS or _RELATIONS[key][0] != states:
         for old in [k for k in _RELATIONS if k[0] != application]:
             del _RELATIONS[old]  # relations of sessions that have ended
-        _RELATIONS[key] = spark.read.parquet(path)
-    return _RELATIONS[key]
+        _RELATIONS[key] = states, spark.read.parquet(path)
+    return _RELATIONS[key][1]
 
 
 def _hhmm(minutes_sql: str) -> str:

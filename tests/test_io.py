@@ -165,3 +165,12 @@ def test_output_job_command_line(spark, tmp_path, capsys):
     assert read("T1_filter").count() == 5 and read("T3_join").count() == 5
     assert read("T2_group").count() == 1 and read("T5_top").count() == 3
     assert "priority_score" in read("T4_score").columns
+
+
+def test_a_table_that_is_rewritten_is_read_anew(spark, tmp_path):
+    from bookdemand.sources.tables import read_table
+
+    for n in (3, 5):
+        spark.range(n).write.mode("overwrite").parquet(f"{tmp_path}/numbers.parquet")
+        assert read_table(spark, str(tmp_path), "numbers").count() == n
+    assert read_table(spark, str(tmp_path), "numbers") is read_table(spark, str(tmp_path), "numbers")
