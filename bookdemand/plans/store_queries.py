@@ -22,7 +22,7 @@ DEMAND_COLUMNS = [S.REQUEST_ID, S.ROOM_ID, S.ATTENDEES]
 
 
 @register("snapshot_versions", f"""WITH {REQUESTS_CTE}
-SELECT room_id, count(*) AS requests, sum(attendees) AS attendees,
+SELECT room_id, count(*) AS requests, sum(attendees)::BIGINT AS attendees,
        count(*) FILTER (request_id % 2 = 0) AS first_requests
 FROM requests GROUP BY room_id""")
 def snapshot_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def snapshot_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("observed_publish", f"""WITH {REQUESTS_CTE}
-SELECT count(*) AS rows, sum(attendees) AS attendees, min(request_id) AS low, max(request_id) AS high,
+SELECT count(*) AS rows, sum(attendees)::BIGINT AS attendees, min(request_id) AS low, max(request_id) AS high,
        count(*) FILTER (room_id IS NULL) AS without_room, count(*) FILTER (attendees <= 0) AS not_positive, count(*) AS stored
 FROM requests""")
 def observed_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
