@@ -157,7 +157,7 @@ def block_features(block: Block, place: float) -> list[str]:
     out.append(f"ends:{min(3, ends)}")
     if ends and words >= 8 and 2 * block.linked < size:
         out.append("prose")
-    if "©" in block.text or "copyright" in block.text[:200].lower():
+    if "©" in block.text or "copyright" in block.text.lower():
         out.append("copyright")
     if place < 0.15:
         out.append("early")
