@@ -23,17 +23,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 GROUP = 8  # non-essential terms probed at a time
-CHUNK = 1024
+CHUNK = 4096
 MOST, LEAST = (1 << 63) - 1, -(1 << 63)
 
 
 class Shard:
     """Rows by rising id (ties as they came), in chunks with bounds."""
 
-    def __init__(self, rows: np.ndarray, ids: np.ndarray) -> None:
-        self.ids, self.starts = ids, np.arange(0, len(ids), CHUNK)
-        self.rows = rows
-        self.columns = [np.ascontiguousarray(rows[s:s + CHUNK].T) for s in self.starts]
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, chunk: int = CHUNK) -> None:
+        self.ids, self.starts = ids, np.arange(0, len(ids), chunk)
+        self.columns = [np.ascontiguousarray(rows[s:s + chunk].T) for s in self.starts]
         self.high = np.array([c.max(axis=1) for c in self.columns]).reshape(len(self.starts), rows.shape[1])
         self.low = np.array([c.min(axis=1) for c in self.columns]).reshape(len(self.starts), rows.shape[1])
 
@@ -121,7 +120,7 @@ def as_integers(rows: DataFrame, scale: int = 256) -> DataFrame:
             .where(F.forall("v", lambda x: F.abs(x) < F.lit(math.inf))))
 
 
-def top_k(queries: DataFrame, rows: DataFrame, k: int = 5, shard_rows: int = 65_536, query_block: int = 16_384) -> DataFrame:
+def top_k(queries: DataFrame, rows: DataFrame, k: int = 5, shard_rows: int = 16_384, query_block: int = 16_384) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k rows of ``rows`` with the highest inner
     product for each row of ``queries`` (both vec_id, v), all rows if there are fewer.
 

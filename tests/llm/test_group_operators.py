@@ -247,7 +247,7 @@ def test_max_score_needs_fewer_terms_as_the_threshold_rises():
     rows = np.floor(256 * r.normal(size=(9000, 48)) / np.arange(1, 49))
     rows[:3000, 0] += 3000  # chunks that a query may pass over
     ids = r.permutation(9000)
-    shard = topk.Shard(rows[np.argsort(ids)], np.sort(ids))
+    shard = topk.Shard(rows[np.argsort(ids)], np.sort(ids), chunk=1024)
     by_row = rows[np.argsort(ids)]
     passed = 0
     for q in range(0, 9000, 500):
