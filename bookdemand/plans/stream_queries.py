@@ -31,14 +31,17 @@ from bookdemand.streaming.stateful import late_windows, ranked_windows, ranking_
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
 LEAST_BATCHES, BATCH_BYTES = 8, 1 << 30
 HOUR_US = 3_600_000_000
+LEAST_SHARDS, SHARD_ROWS = 64, 1 << 15
 
 
-def _publish(df: DataFrame, base: str, order: Sequence[Column], *, key: Column | None = None, partitions: int = 1) -> None:
+def _publish(df: DataFrame, base: str, order: Sequence[Column], *, key: Column | None = None, partitions: int = 1) -> int:
     """Append ``df`` to the topic under ``base``; without a key one partition, whose offsets
-    are in order over all rows (its segments are still written and read by many tasks)."""
+    are in order over all rows (its segments are still written and read by many tasks).
+    Returns the number of rows."""
     rows = df.count()
     publish_topic(df, f"{base}/topic", key=F.lit(0) if key is None else key, order=order, partitions=partitions,
                   segment_rows=max(1, min(1 << 20, rows // (4 * LEAST_BATCHES * partitions))))
+    return rows
 
 
 def _stream(spark: SparkSession, base: str) -> DataFrame:
@@ -181,15 +184,16 @@ def stream_late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-2 with late events tolerated: 1-day windows sliding every 6 hours, 6-hour watermark,
     over a feed in which a fifth of the events comes 4 hours late (they correct their windows)
     and a tenth five days late (they go to the side output).  Corrected windows and late rows
-    together are the batch result."""
+    together are the batch result.  The users are dealt to shards of about ``SHARD_ROWS`` events
+    each, so that the cost of a state's read and write does not come once for every user."""
     base = scratch_path(spark, "stream-late")
     events = read_table(spark, sf_dir, "events").select(*EVENT_COLS)
     turn = F.pmod(F.xxhash64("event_id"), F.lit(10))
     hours = F.when(turn == 0, 120).when(turn <= 2, 4).otherwise(0)
     feed = events.withColumn("_comes", F.expr("ts") + F.make_dt_interval(hours=hours))
-    _publish(feed, base, [F.col("_comes"), F.col("event_id")], key=F.col("user_id"), partitions=4)
+    rows = _publish(feed, base, [F.col("_comes"), F.col("event_id")], key=F.col("user_id"), partitions=4)
     out = late_windows(as_event_time(_stream(spark, base).drop("_comes"), "ts"), time_col="ts", key="user_id", value_col="value", id_col="event_id",
-                       size_us=24 * HOUR_US, slide_us=6 * HOUR_US, watermark="6 hours")
+                       size_us=24 * HOUR_US, slide_us=6 * HOUR_US, watermark="6 hours", shards=max(LEAST_SHARDS, rows // SHARD_ROWS))
     with state_store(spark):
         run_to_end(out, f"{base}/_checkpoint", foreach_batch=idempotent_batch_sink(f"{base}/out"), output_mode="update")
     changes = spark.read.parquet(f"{base}/out")

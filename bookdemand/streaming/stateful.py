@@ -3,7 +3,7 @@
 ``late_windows`` keeps event-time windows open to correction until the watermark passes
 their end and hands what comes later to a side output instead of dropping it;
 ``RankKeeper`` keeps a bounded ranked list per window with timers that expire it.
-Both see a group's rows in Arrow batches and keep only bounded state per key.
+Both see a group's rows in Arrow batches and keep only bounded state: open windows per key, lists per window.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -22,6 +23,7 @@ from bookdemand.operators.ranking import top_n_per_group
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 WINDOW, LATE = "window", "late"
 COLUMNS = ["kind", "key", "start", "events", "counted", "total", "top", "row_id", "t"]
+MERGE_ROWS = 1 << 16  # (event, window) pairs of a shard that wait to be added up
 
 
 @contextmanager
@@ -48,57 +50,90 @@ def _windows_of(ts: np.ndarray, size: int, slide: int) -> tuple[np.ndarray, np.n
 
 
 class WindowKeeper(StatefulProcessor):
-    """Open windows of one key: (start, events, counted, total, top) in parallel lists."""
+    """Open windows of the keys of one shard: (key, start, events, counted, total, top), kept as
+    one Arrow table, so that a shard costs one read and one write of its state a batch however
+    many keys it holds.  Sums and maxima run over arrays of all its keys."""
+
+    SCHEMA = pa.schema([("key", pa.string()), ("start", pa.int64()), ("events", pa.int64()), ("counted", pa.int64()), ("total", pa.float64()), ("top", pa.float64())])
 
     def __init__(self, size: int, slide: int) -> None:
         self.size, self.slide = size, slide
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("open", "start array<long>, events array<long>, counted array<long>, total array<double>, top array<double>")
+        self.state = handle.getValueState("open", "windows binary")
 
-    def _held(self) -> dict[int, tuple]:
+    def _held(self) -> dict[str, np.ndarray]:
         if not self.state.exists():
-            return {}
-        starts, *rest = self.state.get()
-        return dict(zip(starts, zip(*rest)))
-
-    def _keep(self, held: dict[int, tuple], watermark: int) -> None:
-        """Store the windows that are still open; a timer comes back for the first to close."""
-        held = {w: v for w, v in held.items() if w + self.size > watermark}
-        if not held:
+            return {f.name: np.empty(0, object if f.name == "key" else f.type.to_pandas_dtype()) for f in self.SCHEMA}
+        table = pa.ipc.open_stream(bytes(self.state.get()[0])).read_all()
+        return {c: table[c].to_numpy() for c in table.column_names}
+
+    def _keep(self, held: dict[str, np.ndarray], watermark: int) -> int | None:
+        """Store the windows that are still open; returns when a timer is to come for the first to close."""
+        still = held["start"] + self.size > watermark
+        if not still.any():
             self.state.clear()
-            return
-        self.state.update((list(held), *map(list, zip(*held.values()))))
-        self.handle.registerTimer((min(held) + self.size) // 1000 + 1)
+            return None
+        table = pa.table([pa.array(held[f.name][still], f.type, from_pandas=f.name == "key") for f in self.SCHEMA], schema=self.SCHEMA)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table)
+        self.state.update((sink.getvalue().to_pybytes(),))
+        return (int(held["start"][still].min()) + self.size) // 1000 + 1
+
+    @staticmethod
+    def _added(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+        """One row for each (key, start) of ``parts``."""
+        rows = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+        if not len(rows["start"]):
+            return rows
+        code, keys = pd.factorize(rows["key"], use_na_sentinel=False)
+        order = np.lexsort((rows["start"], code))
+        code, start = code[order], rows["start"][order]
+        first = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (start[1:] != start[:-1])))
+        best = {c: np.maximum.reduceat(rows[c][order], first) for c in ("top", "changed")}
+        sums = {c: np.add.reduceat(rows[c][order], first) for c in ("events", "counted", "total")}
+        return {"key": keys[code[first]], "start": start[first], **sums, **best}
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        watermark, held, changed = timerValues.getCurrentWatermarkInMs() * 1000, self._held(), set()
+        watermark, held = timerValues.getCurrentWatermarkInMs() * 1000, self._held()
+        parts, waiting = [{**held, "changed": np.zeros(len(held["start"]), bool)}], 0
         for frame in rows:
-            ts, value = frame["t"].to_numpy(np.int64), frame["value"].to_numpy(np.float64)
+            ts, value, known = frame["t"].to_numpy(np.int64), frame["value"].to_numpy(np.float64), frame["known"].to_numpy(bool)
             row, start = _windows_of(ts, self.size, self.slide)
             late = start + self.size <= watermark
             if late.any():
                 behind = frame.iloc[row[late]]
-                yield pd.DataFrame({"kind": LATE, "key": key[0], "start": start[late], "events": 1, "counted": behind["known"].astype(int).to_numpy(),
+                yield pd.DataFrame({"kind": LATE, "key": behind["key"].to_numpy(), "start": start[late], "events": 1, "counted": behind["known"].astype(int).to_numpy(),
                                     "total": behind["value"].to_numpy(), "top": behind["value"].to_numpy(),
                                     "row_id": behind["row_id"].to_numpy(), "t": behind["t"].to_numpy()})[COLUMNS]
             row, start = row[~late], start[~late]
-            known = frame["known"].to_numpy(bool)[row]
-            for w in np.unique(start).tolist():
-                own = value[row[known & (start == w)]]
-                n, counted, total, top = held.get(w, (0, 0, 0.0, None))
-                if len(own):
-                    top = float(np.max(own if top is None else np.append(own, top)))
-                held[w] = (n + int((start == w).sum()), counted + len(own), total + float(own.sum()), top)
-                changed.add(w)
-        if changed:
-            found = pd.DataFrame([(w, *held[w]) for w in sorted(changed)], columns=["start", "events", "counted", "total", "top"])
-            yield found.assign(kind=WINDOW, key=key[0], row_id=None, t=None)[COLUMNS]
-        self._keep(held, watermark)
+            n = len(row)
+            # without a value: nothing to the sum, and below every maximum
+            parts.append({"key": frame["key"].to_numpy(object)[row], "start": start, "events": np.ones(n, np.int64), "counted": known[row].astype(np.int64),
+                          "total": np.where(known, value, 0.0)[row], "top": np.where(known, value, -np.inf)[row], "changed": np.ones(n, bool)})
+            waiting += n
+            if waiting > max(MERGE_ROWS, len(parts[0]["start"])):
+                parts, waiting = [self._added(parts)], 0
+        held = self._added(parts)
+        changed = np.flatnonzero(held["changed"])
+        for some in (changed[k:k + MERGE_ROWS] for k in range(0, len(changed), MERGE_ROWS)):
+            found = pd.DataFrame({c: held[c][some] for c in self.SCHEMA.names})
+            top = found["top"].where(found["counted"] > 0)
+            yield found.assign(kind=WINDOW, top=top, row_id=None, t=None)[COLUMNS]
+        due = self._keep(held, watermark)
+        timers = list(self.handle.listTimers())
+        for t in timers:
+            if t != due:
+                self.handle.deleteTimer(t)
+        if due is not None and due not in timers:
+            self.handle.registerTimer(due)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._keep(self._held(), timerValues.getCurrentWatermarkInMs() * 1000)
+        due = self._keep(self._held(), timerValues.getCurrentWatermarkInMs() * 1000)
+        if due is not None:
+            self.handle.registerTimer(due)
         return iter(())
 
     def close(self) -> None:
@@ -106,7 +141,7 @@ class WindowKeeper(StatefulProcessor):
 
 
 def late_windows(
-    events: DataFrame, *, time_col: str, key: str, value_col: str, id_col: str, size_us: int, slide_us: int, watermark: str,
+    events: DataFrame, *, time_col: str, key: str, value_col: str, id_col: str, size_us: int, slide_us: int, watermark: str, shards: int = 64,
 ) -> DataFrame:
     """S-2 with late events tolerated: one stream of two kinds of rows.
 
@@ -118,15 +153,18 @@ def late_windows(
     so windows and late rows add up to the batch result.
 
     ``counted`` is the number of values that are not null (a null value counts as an event).
-    State per key is its open windows, at most (size + delay) / slide of them; a timer
-    removes them when the watermark passes.  Rows with a null time are in no window and
+    The keys are dealt to ``shards`` lists of open windows, each read and written once a
+    micro-batch: take so many that a shard's keys, times the (size + delay) / slide windows that
+    each has open, fit a task many times over.  A checkpoint holds for one number of shards.  A timer
+    removes windows when the watermark passes.  Rows with a null time are in no window and
     are left out, as a window function leaves them out.
     """
     # the copies carry no watermark mark: what is late arrives here and is not dropped
     slim = events.where(F.col(time_col).isNotNull()).withWatermark(time_col, watermark).select(
+        F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(shards)).cast("int").alias("shard"),
         F.col(key).cast("string").alias("key"), F.unix_micros(F.col(time_col).cast("timestamp")).alias("t"),
         F.col(value_col).cast("double").alias("value"), F.col(value_col).isNotNull().alias("known"), F.col(id_col).cast("string").alias("row_id"))
-    out = slim.groupBy("key").transformWithStateInPandas(
+    out = slim.groupBy("shard").transformWithStateInPandas(
         WindowKeeper(size_us, slide_us),
         outputStructType="kind string, key string, start long, events long, counted long, total double, top double, row_id string, t long",
         outputMode="update", timeMode="EventTime")

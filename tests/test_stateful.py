@@ -3,9 +3,11 @@
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from bookdemand.streaming import stateful
 from bookdemand.streaming.core import file_stream, idempotent_batch_sink, run_available_now
 from bookdemand.streaming.stateful import late_windows, ranked_windows, ranking_of, state_store, windows_of
 
@@ -74,6 +76,99 @@ def test_late_windows_equal_a_plain_version(spark, tmp_path):
     assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 3 * 2  # a list and a timer for each user
 
 
+def test_late_windows_keep_a_state_per_shard_not_per_key(spark, tmp_path):
+    pick = random.Random(11)
+    users = 400
+    batches = [[(1000 * b + k, EPOCH + dt.timedelta(minutes=300 * b + pick.randrange(300)), k % users, float(pick.randrange(9))) for k in range(600)] for b in range(3)]
+    batches[2] += [(9000 + k, EPOCH + dt.timedelta(minutes=k), k, 1.0) for k in range(50)]  # every window of theirs is closed
+    land(spark, f"{tmp_path}/in", batches)
+    out = late_windows(stream(spark, f"{tmp_path}/in"), time_col="ts", key="user_id", value_col="value", id_col="event_id",
+                       size_us=2 * HOUR, slide_us=HOUR, watermark="1 hour", shards=16)
+    q, changes = run(spark, out, tmp_path)
+    assert 0 < q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 16 * 2  # a list and a timer for each shard
+    late = changes.where("kind = 'late'")
+    assert late.where("event_id >= 9000").count() == 100
+    both = windows_of(changes, "user_id").select("window_start", "user_id", "events", "total", "top").unionByName(
+        late.select("window_start", "user_id", "events", "total", "top"))
+    got = both.groupBy("window_start", "user_id").agg(F.sum("events").alias("events"), F.sum("total").alias("total"), F.max("top").alias("top"))
+    want = {}
+    for _, ts, user, value in [r for batch in batches for r in batch]:
+        for k in range(2):
+            want.setdefault((ts.replace(minute=0, second=0) - dt.timedelta(hours=k), user), []).append(value)
+    assert {(r["window_start"], r["user_id"]): (r["events"], r["total"], r["top"]) for r in got.collect()} == {w: (len(v), sum(v), max(v)) for w, v in want.items()}
+
+
+class Shard:
+    """A handle that holds one shard's state and timers."""
+
+    def __init__(self):
+        self.value, self.timers, self.writes = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value, self.writes = value, self.writes + 1
+
+    def clear(self):
+        self.value = None
+
+    def listTimers(self):
+        return iter(sorted(self.timers))
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+class Watermark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_window_keeper_adds_up_many_keys_in_small_steps(monkeypatch):
+    monkeypatch.setattr(stateful, "MERGE_ROWS", 7)
+    pick, shard, size, slide = random.Random(5), Shard(), 4_000_000, 1_000_000
+    keeper = stateful.WindowKeeper(size, slide)
+    keeper.init(shard)
+    rows = [(pick.choice(["a", "b", None]), 250_000 * k, pick.choice([None, -2.0, float(k)])) for k in range(200)]
+    frames = [pd.DataFrame({"key": pd.Series([r[0] for r in part], dtype=object), "t": [r[1] for r in part], "value": pd.Series([r[2] for r in part], dtype=float),
+                            "known": [r[2] is not None for r in part], "row_id": "x"}) for part in (rows[k:k + 9] for k in range(0, 200, 9))]
+    last, late = {}, 0
+    for batch, watermark in ((frames[:10], 0), (frames[10:], 15_000), ([], 49_000)):
+        if batch:
+            found = pd.concat(list(keeper.handleInputRows((3,), iter(batch), Watermark(watermark))))
+            late += int((found["kind"] == "late").sum())
+            for r in found[found["kind"] == "window"].itertuples():
+                last[None if pd.isna(r.key) else r.key, r.start] = (r.events, r.counted, r.total, None if pd.isna(r.top) else r.top)
+        else:
+            list(keeper.handleExpiredTimer((3,), Watermark(watermark), None))
+            shard.timers = {t for t in shard.timers if t > watermark}
+        starts = keeper._held()["start"]
+        assert len(shard.timers) == 1 and shard.timers == {(starts.min() + size) // 1000 + 1}
+        assert (starts + size > watermark * 1000).all()
+    want = {}
+    for key, t, value in rows:
+        for k in range(4):
+            want.setdefault((key, t - t % slide - k * slide), []).append(value)
+    known = {w: [x for x in v if x is not None] for w, v in want.items()}
+    assert late == 0 and last == {w: (len(v), len(known[w]), sum(known[w]), max(known[w], default=None)) for w, v in want.items()}
+    assert shard.writes == 3  # once a batch and once a timer, however many keys
+    list(keeper.handleExpiredTimer((3,), Watermark(60_000), None))
+    assert not shard.exists()
+
+
 def test_ranked_lists_survive_a_restart_and_stay_bounded(spark, tmp_path):
     pick = random.Random(8)
     rows = [(k, EPOCH + dt.timedelta(minutes=20 * k), k % 3, pick.choice([None, 1.0, 2.0, float(pick.randrange(50))])) for k in range(400)]
